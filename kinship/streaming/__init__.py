@@ -1,0 +1 @@
+"""Incremental versions of the aggregation tasks over a growing folder of log files."""

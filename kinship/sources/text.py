@@ -35,8 +35,8 @@ PARSE_OK = "ok"
 PARSE_BAD_FIELD = "bad_field"
 PARSE_SHORT = "short"
 
-# A null marker no real field holds, so empty fields parse as "".
-NULL_SENTINEL = "\u0000"
+# A quoted CSV segment (a doubled quote inside is part of it).
+QUOTED_SEGMENT = '"(?:[^"]|"")*"'
 
 CSV_OPTIONS = {
     "header": "false",
@@ -108,28 +108,23 @@ def classify(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.withColumn("kind", record_kind(F.col(column)))
 
 
+def field_count(line: F.Column, sep: str = ",") -> F.Column:
+    """Number of CSV fields of a line: separators outside quoted segments + 1."""
+    unquoted = F.regexp_replace(line, QUOTED_SEGMENT, "q")
+    return F.size(F.split(unquoted, sep, -1))
+
+
 def parse_lines(lines: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
     """Parse a text column with a CSV schema (PERMISSIVE), adding ``parse``:
-    ``ok``; ``bad_field`` (right width, some field does not parse, an empty
-    number included); ``short`` (too few or too many fields)."""
-    # Empty fields stay "" (not NULL), so a NULL below means "absent".
-    options = {**{k: v for k, v in CSV_OPTIONS.items() if k != "header"}, "nullValue": NULL_SENTINEL}
-    n = len(schema.fields)
+    ``ok``; ``short`` (too few or too many fields); ``bad_field`` (right
+    width, but a number or date field is empty or does not parse)."""
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
     typed = F.from_csv(F.col(column), schema.simpleString(), options)
-    raw = F.from_csv(F.col(column), _all_strings(n + 1).simpleString(), options)
-    typed_fields = [typed.getField(f.name) for f in schema.fields]
-    raw_fields = [raw.getField(f"c{i}") for i in range(n + 1)]
-    width_ok = raw_fields[n].isNull()
-    for value in raw_fields[:n]:
-        width_ok = width_ok & value.isNotNull()
-    all_parsed = F.lit(True)
-    for value, parsed in zip(raw_fields[:n], typed_fields):
-        all_parsed = all_parsed & ~(value.isNotNull() & parsed.isNull())
-    outcome = (
-        F.when(~width_ok, F.lit(PARSE_SHORT)).when(all_parsed, F.lit(PARSE_OK)).otherwise(F.lit(PARSE_BAD_FIELD))
-    )
-    return lines.select("*", *[v.alias(f.name) for v, f in zip(typed_fields, schema.fields)], outcome.alias("parse"))
-
-
-def _all_strings(n: int) -> T.StructType:
-    return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(n)])
+    fields = [typed.getField(f.name) for f in schema.fields]
+    width_ok = field_count(F.col(column)) == len(schema.fields)
+    bad = F.lit(False)
+    for value, field in zip(fields, schema.fields):
+        if not isinstance(field.dataType, T.StringType):
+            bad = bad | value.isNull()
+    outcome = F.when(~width_ok, F.lit(PARSE_SHORT)).when(bad, F.lit(PARSE_BAD_FIELD)).otherwise(F.lit(PARSE_OK))
+    return lines.select("*", *[v.alias(f.name) for v, f in zip(fields, schema.fields)], outcome.alias("parse"))

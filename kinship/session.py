@@ -50,10 +50,16 @@ def get_session(
     local runs); see :func:`shared_dir`.
     """
     builder = SparkSession.builder.appName(app_name)
+    conf = session_conf(shuffle_partitions)
     if master:
         builder = builder.master(master)
-        builder = builder.config("spark.driver.memory", os.environ.get("KINSHIP_DRIVER_MEMORY", "16g"))
-    for key, value in {**session_conf(shuffle_partitions), **(extra or {})}.items():
+        conf["spark.driver.memory"] = os.environ.get("KINSHIP_DRIVER_MEMORY", "16g")
+        if master.startswith("local"):
+            # Split small inputs into about three tasks per core so one
+            # straggling split does not idle the others. Large inputs are
+            # still cut at spark.sql.files.maxPartitionBytes.
+            conf["spark.sql.files.minPartitionNum"] = str(3 * _local_cores(master))
+    for key, value in {**conf, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -61,6 +67,11 @@ def get_session(
     return spark
 
 
+def _local_cores(master: str) -> int:
+    inside = master[master.find("[") + 1 : master.find("]")] if "[" in master else "1"
+    return os.cpu_count() or 1 if inside in ("*", "") else int(inside.split(",")[0])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder, setting one only if unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

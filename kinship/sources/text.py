@@ -36,7 +36,7 @@ PARSE_BAD_FIELD = "bad_field"
 PARSE_SHORT = "short"
 
 # A quoted CSV segment (a doubled quote inside is part of it).
-QUOTED_SEGMENT = '"(?:[^"]|"")*"'
+QUOTED_SEGMENT = '"[^"]*(?:""[^"]*)*"'
 
 CSV_OPTIONS = {
     "header": "false",
@@ -88,11 +88,7 @@ def read_lines(spark: SparkSession, paths) -> DataFrame:
     return spark.read.text(_paths(paths))
 
 
-def record_kind(line: F.Column) -> F.Column:
-    """Kind of a mixed text line, decided by its 2nd-4th non-empty
-    comma-separated tokens: three numbers -> follows; two numbers then text
-    -> activity; two texts -> page; anything else -> unknown."""
-    toks = tokens(line)
+def _kind_of_tokens(toks: F.Column) -> F.Column:
     t1, t2, t3 = (F.get(toks, i) for i in (1, 2, 3))
     n1, n2, n3 = is_digits(t1), is_digits(t2), is_digits(t3)
     return (
@@ -104,8 +100,18 @@ def record_kind(line: F.Column) -> F.Column:
     )
 
 
+def record_kind(line: F.Column) -> F.Column:
+    """Kind of a mixed text line, decided by its 2nd-4th non-empty
+    comma-separated tokens: three numbers -> follows; two numbers then text
+    -> activity; two texts -> page; anything else -> unknown."""
+    return _kind_of_tokens(tokens(line))
+
+
 def classify(lines: DataFrame, column: str = "value") -> DataFrame:
-    return lines.withColumn("kind", record_kind(F.col(column)))
+    # The token array is projected once and then inspected, so the line is
+    # split a single time per row.
+    with_tokens = lines.select("*", tokens(F.col(column)).alias("_tokens"))
+    return with_tokens.withColumn("kind", _kind_of_tokens(F.col("_tokens"))).drop("_tokens")
 
 
 def field_count(line: F.Column, sep: str = ",") -> F.Column:
@@ -119,12 +125,22 @@ def parse_lines(lines: DataFrame, schema: T.StructType, column: str = "value") -
     ``ok``; ``short`` (too few or too many fields); ``bad_field`` (right
     width, but a number or date field is empty or does not parse)."""
     options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
-    typed = F.from_csv(F.col(column), schema.simpleString(), options)
-    fields = [typed.getField(f.name) for f in schema.fields]
-    width_ok = field_count(F.col(column)) == len(schema.fields)
+    # Parse once into a struct column, then read its fields.
+    parsed = lines.select(
+        "*",
+        F.from_csv(F.col(column), schema.simpleString(), options).alias("_parsed"),
+        field_count(F.col(column)).alias("_width"),
+    )
+    fields = [F.col("_parsed").getField(f.name) for f in schema.fields]
     bad = F.lit(False)
     for value, field in zip(fields, schema.fields):
         if not isinstance(field.dataType, T.StringType):
             bad = bad | value.isNull()
-    outcome = F.when(~width_ok, F.lit(PARSE_SHORT)).when(bad, F.lit(PARSE_BAD_FIELD)).otherwise(F.lit(PARSE_OK))
-    return lines.select("*", *[v.alias(f.name) for v, f in zip(fields, schema.fields)], outcome.alias("parse"))
+    outcome = (
+        F.when(F.col("_width") != len(schema.fields), F.lit(PARSE_SHORT))
+        .when(bad, F.lit(PARSE_BAD_FIELD))
+        .otherwise(F.lit(PARSE_OK))
+    )
+    return parsed.select(
+        *lines.columns, *[v.alias(f.name) for v, f in zip(fields, schema.fields)], outcome.alias("parse")
+    )

@@ -69,7 +69,9 @@ def get_session(
 
 def _local_cores(master: str) -> int:
     inside = master[master.find("[") + 1 : master.find("]")] if "[" in master else "1"
-    return os.cpu_count() or 1 if inside in ("*", "") else int(inside.split(",")[0])
+    if inside in ("*", ""):
+        return os.cpu_count() or 1
+    return int(inside.split(",")[0])
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

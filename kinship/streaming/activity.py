@@ -1,0 +1,92 @@
+"""Structured Streaming over a folder that keeps receiving activity-log CSV files.
+
+The batch plans are DataFrame -> DataFrame functions, so the aggregations
+that Structured Streaming supports run unchanged on a streaming DataFrame:
+page visit counts (task B's first job), activity per member, the latest
+activity time and the hobby frequency of a growing pages folder. State lives
+in the checkpoint location, which defaults to a folder below the cluster's
+shared ``spark.checkpoint.dir``; a restarted query resumes from it.
+
+Distinct counts and top-k over the whole history are not streaming
+operators in Spark; they are computed by the batch plans over the same files.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from kinship.plans import hobbies, recency, visits
+from kinship.session import shared_dir
+from kinship.sources import schemas
+from kinship.sources.text import CSV_OPTIONS
+
+
+def _csv_stream(spark: SparkSession, folder: str, schema, max_files_per_trigger: int | None) -> DataFrame:
+    reader = spark.readStream.options(**CSV_OPTIONS).option("mode", "PERMISSIVE").schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.csv(folder)
+
+
+def activity_stream(
+    spark: SparkSession, folder: str, integer_time: bool = False, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    schema = schemas.ACTIVITY_INT if integer_time else schemas.ACTIVITY
+    return _csv_stream(spark, folder, schema, max_files_per_trigger)
+
+
+def pages_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    return _csv_stream(spark, folder, schemas.PAGE, max_files_per_trigger)
+
+
+def visit_counts(activity: DataFrame) -> DataFrame:
+    """(page_id, visits), kept up to date as files arrive."""
+    return visits.page_visits(activity)
+
+
+def actions_per_member(activity: DataFrame) -> DataFrame:
+    """(by_who, n_total): accesses made by each member so far."""
+    return activity.where(F.col("by_who").isNotNull()).groupBy("by_who").agg(F.count(F.lit(1)).alias("n_total"))
+
+
+def latest_activity(activity: DataFrame) -> DataFrame:
+    """(latest): the largest action time seen so far."""
+    return recency.latest_activity(activity)
+
+
+def hobby_frequency(pages: DataFrame) -> DataFrame:
+    return hobbies.hobby_frequency(pages)
+
+
+def start(
+    result: DataFrame,
+    name: str,
+    sink: str = "memory",
+    path: str | None = None,
+    checkpoint: str | None = None,
+    output_mode: str = "update",
+    trigger_available_now: bool = False,
+) -> StreamingQuery:
+    """Start an aggregation query.
+
+    ``sink="memory"`` keeps the result in the session as table ``name`` (for
+    inspection and tests); any other sink name is handed to
+    ``DataStreamWriter.format`` with ``path``. For file sinks, which only
+    accept appended rows, each micro-batch is written with ``foreachBatch``
+    as a full snapshot below ``path/batch=<id>``.
+    """
+    spark = result.sparkSession
+    location = checkpoint or shared_dir(spark, "streams", name)
+    writer = result.writeStream.queryName(name).option("checkpointLocation", location)
+    if trigger_available_now:
+        writer = writer.trigger(availableNow=True)
+    if sink == "memory":
+        return writer.format("memory").outputMode("complete").start()
+    if sink in ("parquet", "csv", "json", "orc") and path:
+        def write_snapshot(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").format(sink).save(f"{path.rstrip('/')}/batch={batch_id}")
+
+        return writer.outputMode("complete").foreachBatch(write_snapshot).start()
+    return writer.format(sink).outputMode(output_mode).start(path) if path else writer.format(sink).start()

@@ -22,6 +22,20 @@ def _int_time(activity: DataFrame) -> DataFrame:
     return activity.withColumn("action_time", epoch_days("action_time"))
 
 
+def _mixed(t: Inputs):
+    return records.typed_from_mixed(records.mixed_lines(t.pages, t.follows, t.activity))
+
+
+def _from_text_follower_count(t: Inputs) -> DataFrame:
+    pages, follows, _ = _mixed(t)
+    return followers.follower_count(follows, pages)
+
+
+def _from_text_access_by_page(t: Inputs) -> DataFrame:
+    _, _, activity = _mixed(t)
+    return access.access_by_page(activity)
+
+
 def _q(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Inputs(spark, sf_dir))
@@ -67,6 +81,9 @@ QUERIES: dict[str, Query] = {
     # Sources: the tables rendered as mixed CSV text
     "record_type_counts": _q(lambda t: records.record_type_counts(records.mixed_lines(t.pages, t.follows, t.activity))),
     "malformed_rows": _q(lambda t: records.malformed_rows(records.mixed_lines(t.pages, t.follows, t.activity))),
+    # Tasks D and E fed from one mixed text folder, as the original jobs read it
+    "follower_count_from_text": _q(lambda t: _from_text_follower_count(t)),
+    "access_by_page_from_text": _q(lambda t: _from_text_access_by_page(t)),
 }
 
 

@@ -78,7 +78,9 @@ _BODIES = {
         ORDER BY t.visits DESC, t.page_id ASC""",
     "follower_count": "SELECT id, nickname, n_followers FROM follower_sets",
     "follower_count_dedup": "SELECT id, nickname, n_followers FROM follower_sets",
+    "follower_count_from_text": "SELECT id, nickname, n_followers FROM follower_sets",
     "access_by_page": "SELECT page_id, n_total, n_distinct FROM page_access",
+    "access_by_page_from_text": "SELECT page_id, n_total, n_distinct FROM page_access",
     "access_by_person": """
         SELECT by_who, count(*) AS n_total, count(DISTINCT page_id) AS n_distinct
         FROM activity_log WHERE by_who IS NOT NULL GROUP BY by_who""",

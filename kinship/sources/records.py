@@ -16,9 +16,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinship.functions import epoch_days
+from kinship.functions import epoch_days, tokens
 from kinship.sources import schemas
-from kinship.sources.text import classify, parse_lines
+from kinship.sources.text import KIND_ACTIVITY, KIND_FOLLOWS, KIND_PAGE, classify, parse_lines
 
 
 def _csv_line(*cols: F.Column) -> F.Column:
@@ -69,3 +69,28 @@ def malformed_rows(lines: DataFrame) -> DataFrame:
     row, per source file."""
     parsed = parse_lines(lines, schemas.ACTIVITY)
     return parsed.groupBy("source", "parse").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def _token(i: int) -> F.Column:
+    return F.get(F.col("_tokens"), i)
+
+
+def typed_from_mixed(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Split a mixed folder of lines into (pages, follows, activity) by record
+    kind, taking fields from the comma tokens (empty tokens skipped) the way
+    a tokenizing mapper does. Ids that are not whole numbers become NULL."""
+    kinds = classify(lines).select("kind", tokens(F.col("value")).alias("_tokens"))
+
+    def as_id(i: int) -> F.Column:
+        return _token(i).try_cast("long")
+
+    pages = kinds.where(F.col("kind") == KIND_PAGE).select(
+        as_id(0).alias("id"), _token(1).alias("nickname")
+    )
+    follows = kinds.where(F.col("kind") == KIND_FOLLOWS).select(
+        as_id(1).alias("id1"), as_id(2).alias("id2")
+    )
+    activity = kinds.where(F.col("kind") == KIND_ACTIVITY).select(
+        as_id(1).alias("by_who"), as_id(2).alias("page_id")
+    )
+    return pages, follows, activity

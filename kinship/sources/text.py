@@ -83,6 +83,16 @@ def read_activity(spark: SparkSession, paths, mode: str = "PERMISSIVE", integer_
     return read_csv(spark, paths, schemas.ACTIVITY_INT if integer_time else schemas.ACTIVITY, mode)
 
 
+def read_key_value(spark: SparkSession, paths, schema: T.StructType | str) -> DataFrame:
+    """Typed scan of ``key<TAB>value`` text (the key-value sink's format).
+    A key or value made of several comma-joined parts stays one field."""
+    return (
+        spark.read.options(**{**CSV_OPTIONS, "sep": "\t", "quote": "\u0000"})
+        .schema(schema)
+        .csv(_paths(paths))
+    )
+
+
 def read_lines(spark: SparkSession, paths) -> DataFrame:
     """Raw lines (column ``value``) of any number of text paths."""
     return spark.read.text(_paths(paths))

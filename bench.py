@@ -24,7 +24,7 @@ sys.path.insert(0, ROOT)
 from kinship.plans import access, followers  # noqa: E402
 from kinship.plans.catalog import queries  # noqa: E402
 from kinship.session import get_session, shared_dir  # noqa: E402
-from kinship.sinks import write_csv  # noqa: E402
+from kinship.sinks import committed, write_csv  # noqa: E402
 from kinship.sources import generate, text  # noqa: E402
 
 
@@ -50,7 +50,7 @@ def ref_scale_inputs(spark):
     paths = {}
     for name, build in made.items():
         path = f"{base}/{name}"
-        if not os.path.exists(re.sub("^file:", "", path) + "/_SUCCESS"):
+        if not committed(spark, path):
             write_csv(build(), path, mode="overwrite")
         paths[name] = path
     return paths

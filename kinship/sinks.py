@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinship.sources.text import CSV_OPTIONS
@@ -37,3 +37,12 @@ def write_key_value_text(
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace")}
     df.write.mode(mode).options(**opts).csv(path)
+
+
+def committed(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a finished Spark write (its ``_SUCCESS``
+    marker exists), on whatever file system the path names."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(marker))

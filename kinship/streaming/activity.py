@@ -63,7 +63,7 @@ def hobby_frequency(pages: DataFrame) -> DataFrame:
 def start(
     result: DataFrame,
     name: str,
-    sink: str = "memory",
+    sink: str,
     path: str | None = None,
     checkpoint: str | None = None,
     output_mode: str = "update",
@@ -71,8 +71,8 @@ def start(
 ) -> StreamingQuery:
     """Start an aggregation query.
 
-    ``sink="memory"`` keeps the result in the session as table ``name`` (for
-    inspection and tests); any other sink name is handed to
+    ``sink="memory"`` keeps the result in the driver as table ``name``, for
+    inspection and tests only; any other sink name is handed to
     ``DataStreamWriter.format`` with ``path``. For file sinks, which only
     accept appended rows, each micro-batch is written with ``foreachBatch``
     as a full snapshot below ``path/batch=<id>``.

@@ -17,7 +17,7 @@ def test_streaming_visit_counts_follow_new_files(spark, tmp_path):
     inbox.mkdir()
     (inbox / "part-0.csv").write_text("\n".join(ACTIVITY_LINES[:4]) + "\n")
     counts = stream.visit_counts(stream.activity_stream(spark, str(inbox), integer_time=True))
-    query = stream.start(counts, "visit_counts_test", checkpoint=str(tmp_path / "ckpt"))
+    query = stream.start(counts, "visit_counts_test", "memory", checkpoint=str(tmp_path / "ckpt"))
     try:
         query.processAllAvailable()
         assert rows(spark.table("visit_counts_test")) == [(2, 3), (3, 1)]
@@ -34,8 +34,8 @@ def test_streaming_latest_and_member_counts(spark, tmp_path):
     inbox.mkdir()
     (inbox / "a.csv").write_text("\n".join(ACTIVITY_LINES) + "\n")
     log = stream.activity_stream(spark, str(inbox), integer_time=True)
-    q1 = stream.start(stream.latest_activity(log), "latest_test", checkpoint=str(tmp_path / "c1"))
-    q2 = stream.start(stream.actions_per_member(log), "members_test", checkpoint=str(tmp_path / "c2"))
+    q1 = stream.start(stream.latest_activity(log), "latest_test", "memory", checkpoint=str(tmp_path / "c1"))
+    q2 = stream.start(stream.actions_per_member(log), "members_test", "memory", checkpoint=str(tmp_path / "c2"))
     try:
         q1.processAllAvailable()
         q2.processAllAvailable()

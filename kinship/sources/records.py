@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinship.functions import epoch_days, tokens
+from kinship.functions import epoch_days
 from kinship.sources import schemas
 from kinship.sources.text import KIND_ACTIVITY, KIND_FOLLOWS, KIND_PAGE, classify, parse_lines
 
@@ -79,7 +79,7 @@ def typed_from_mixed(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
     """Split a mixed folder of lines into (pages, follows, activity) by record
     kind, taking fields from the comma tokens (empty tokens skipped) the way
     a tokenizing mapper does. Ids that are not whole numbers become NULL."""
-    kinds = classify(lines).select("kind", tokens(F.col("value")).alias("_tokens"))
+    kinds = classify(lines, keep_tokens=True).select("kind", "_tokens")
 
     def as_id(i: int) -> F.Column:
         return _token(i).try_cast("long")

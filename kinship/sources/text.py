@@ -117,11 +117,13 @@ def record_kind(line: F.Column) -> F.Column:
     return _kind_of_tokens(tokens(line))
 
 
-def classify(lines: DataFrame, column: str = "value") -> DataFrame:
-    # The token array is projected once and then inspected, so the line is
-    # split a single time per row.
+def classify(lines: DataFrame, column: str = "value", keep_tokens: bool = False) -> DataFrame:
+    """Add ``kind``; with ``keep_tokens`` also the non-empty tokens as
+    ``_tokens``. The token array is projected once and then inspected, so
+    each line is split a single time."""
     with_tokens = lines.select("*", tokens(F.col(column)).alias("_tokens"))
-    return with_tokens.withColumn("kind", _kind_of_tokens(F.col("_tokens"))).drop("_tokens")
+    kinds = with_tokens.withColumn("kind", _kind_of_tokens(F.col("_tokens")))
+    return kinds if keep_tokens else kinds.drop("_tokens")
 
 
 def field_count(line: F.Column, sep: str = ",") -> F.Column:

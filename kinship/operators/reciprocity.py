@@ -59,15 +59,20 @@ def canonical_pairs(edges: DataFrame, src: str, dst: str, carry: Sequence[tuple[
 
 def one_way_edges(pairs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """From :func:`canonical_pairs`: the edges whose reverse is absent, as
-    (src, dst, <carry of src>...)."""
+    (src, dst, <carry of src>...).
+
+    One projection over the pairs (no union of two filtered copies), so the
+    pair aggregate and everything below it run once.
+    """
     mask = F.col("mask")
-    lo_to_hi = pairs.where(mask == FORWARD).select(
-        F.col("lo").alias("src"), F.col("hi").alias("dst"), *[F.col(f"lo_{c}").alias(c) for c in carry]
-    )
-    hi_to_lo = pairs.where(mask == BACKWARD).select(
-        F.col("hi").alias("src"), F.col("lo").alias("dst"), *[F.col(f"hi_{c}").alias(c) for c in carry]
-    )
-    return lo_to_hi.unionByName(hi_to_lo)
+    forward = mask == FORWARD
+    cols = [
+        F.when(forward, F.col("lo")).otherwise(F.col("hi")).alias("src"),
+        F.when(forward, F.col("hi")).otherwise(F.col("lo")).alias("dst"),
+    ]
+    for c in carry:
+        cols.append(F.when(forward, F.col(f"lo_{c}")).otherwise(F.col(f"hi_{c}")).alias(c))
+    return pairs.where(mask.isin(FORWARD, BACKWARD)).select(*cols)
 
 
 def degree_counts(pairs: DataFrame) -> DataFrame:

@@ -50,3 +50,23 @@ def test_distinct_count_is_two_level_aggregate(spark):
     plan = _plan(spark, "follower_count")
     assert "partial_count(distinct" in plan
     assert "FullOuter" in plan
+
+
+def test_each_input_scanned_once_with_shuffled_joins(spark):
+    """With size-based broadcasting off (as for large inputs), no plan runs a
+    pipeline twice: the edge/log table is scanned once per query, except the
+    text queries, which render follows and activity as two separate files."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        for name, build in queries().items():
+            df = build(spark, SF_SMALL)
+            df.collect()
+            plan = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+            allowed = 2 if ("text" in name or name in ("record_type_counts", "malformed_rows")) else 1
+            assert plan.count("FileScan parquet [l_orderkey") <= allowed, name
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)

@@ -14,11 +14,13 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Sides below this many bytes (Catalyst estimate, or the measured size of a
-# finished shuffle stage under AQE) may be broadcast by Spark itself. Larger
-# sides are joined with a shuffle. 32 MiB keeps every broadcast well inside
-# executor memory on any cluster.
-BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
+# Size checks before Spark broadcasts a join side by itself. The static limit
+# applies to Catalyst's estimate (derived from compressed file sizes, so it
+# can undershoot the in-memory size) and stays at Spark's conservative 10 MiB;
+# the adaptive limit applies to the measured output of a finished shuffle
+# stage and may be larger. Sides above the limits are joined with a shuffle.
+BROADCAST_LIMIT_BYTES = 10 * 1024 * 1024
+ADAPTIVE_BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
 
 def session_conf(shuffle_partitions: int = 8) -> dict[str, str]:
@@ -29,7 +31,7 @@ def session_conf(shuffle_partitions: int = 8) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.localShuffleReader.enabled": "true",
         "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT_BYTES),
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT_BYTES),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(ADAPTIVE_BROADCAST_LIMIT_BYTES),
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",

@@ -94,8 +94,10 @@ def read_key_value(spark: SparkSession, paths, schema: T.StructType | str) -> Da
 
 
 def read_lines(spark: SparkSession, paths) -> DataFrame:
-    """Raw lines (column ``value``) of any number of text paths."""
-    return spark.read.text(_paths(paths))
+    """Raw lines (column ``value``) of any number of text paths; folders are
+    read with all their sub-folders (a mixed folder may hold one sub-folder
+    per source)."""
+    return spark.read.option("recursiveFileLookup", "true").text(_paths(paths))
 
 
 def _kind_of_tokens(toks: F.Column) -> F.Column:

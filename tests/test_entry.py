@@ -34,10 +34,23 @@ def duck():
     return con
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+}
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     s_rows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(entry.oracle_sql()[name])
+    o_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {f.name: SQL_TYPES[f.dataType.simpleString()] for f in df.schema.fields} == o_types
     res = duck.execute(entry.oracle_sql()[name])
     o_cols = [d[0] for d in res.description]
     o_rows = res.fetchall()

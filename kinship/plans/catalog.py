@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+
 from kinship.functions import epoch_days
 from kinship.plans import access, followers, hobbies, reciprocity, recency, visits
 from kinship.plans.oracle import DRIVER_HOBBY

@@ -73,9 +73,13 @@ def start(
 
     ``sink="memory"`` keeps the result in the driver as table ``name``, for
     inspection and tests only; any other sink name is handed to
-    ``DataStreamWriter.format`` with ``path``. For file sinks, which only
-    accept appended rows, each micro-batch is written with ``foreachBatch``
-    as a full snapshot below ``path/batch=<id>``.
+    ``DataStreamWriter.format`` with ``path``. File sinks only accept
+    appended rows, so each micro-batch is written with ``foreachBatch`` below
+    ``path/batch=<id>``: with ``output_mode="complete"`` a full snapshot of
+    the result, with ``output_mode="update"`` only the keys whose value
+    changed in that batch (a changelog; the latest batch holding a key has
+    its current value). Update mode keeps each write proportional to the new
+    data rather than to the whole result, which is what a large result needs.
     """
     spark = result.sparkSession
     location = checkpoint or shared_dir(spark, "streams", name)
@@ -85,8 +89,9 @@ def start(
     if sink == "memory":
         return writer.format("memory").outputMode("complete").start()
     if sink in ("parquet", "csv", "json", "orc") and path:
-        def write_snapshot(batch: DataFrame, batch_id: int) -> None:
+        def write_batch(batch: DataFrame, batch_id: int) -> None:
             batch.write.mode("overwrite").format(sink).save(f"{path.rstrip('/')}/batch={batch_id}")
 
-        return writer.outputMode("complete").foreachBatch(write_snapshot).start()
+        mode = "update" if output_mode == "update" else "complete"
+        return writer.outputMode(mode).foreachBatch(write_batch).start()
     return writer.format(sink).outputMode(output_mode).start(path) if path else writer.format(sink).start()

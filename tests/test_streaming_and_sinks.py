@@ -54,7 +54,7 @@ def test_streaming_hobbies_to_parquet_snapshots(spark, tmp_path):
     result = stream.hobby_frequency(stream.pages_stream(spark, str(inbox)))
     query = stream.start(
         result, "hobbies_test", sink="parquet", path=str(out), checkpoint=str(tmp_path / "c"),
-        trigger_available_now=True,
+        output_mode="complete", trigger_available_now=True,
     )
     query.awaitTermination(120)
     snapshot = spark.read.parquet(str(out / "batch=0"))
@@ -79,3 +79,21 @@ def test_csv_sink_round_trip(spark, micro, tmp_path):
     sinks.write_csv(quoted, out)
     back = text.read_activity(spark, out, integer_time=True)
     assert rows(back) == rows(micro.activity)
+
+
+def test_streaming_update_changelog(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "a.csv").write_text("\n".join(ACTIVITY_LINES[:4]) + "\n")
+    out = tmp_path / "changes"
+    counts = stream.visit_counts(stream.activity_stream(spark, str(inbox), integer_time=True))
+    first = stream.start(counts, "changes_a", "parquet", path=str(out), checkpoint=str(tmp_path / "c"),
+                         output_mode="update", trigger_available_now=True)
+    first.awaitTermination(120)
+    (inbox / "b.csv").write_text("\n".join(ACTIVITY_LINES[4:]) + "\n")
+    second = stream.start(counts, "changes_a", "parquet", path=str(out), checkpoint=str(tmp_path / "c"),
+                          output_mode="update", trigger_available_now=True)
+    second.awaitTermination(120)
+    assert rows(spark.read.parquet(str(out / "batch=0"))) == [(2, 3), (3, 1)]
+    # The second batch holds only the pages whose count changed.
+    assert rows(spark.read.parquet(str(out / "batch=1"))) == [(1, 1), (3, 3), (77, 1)]

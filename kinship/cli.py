@@ -23,7 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from kinship import sinks  # noqa: E402
 from kinship.functions import render_follow_report  # noqa: E402
 from kinship.plans import access, followers, hobbies, reciprocity, recency, visits  # noqa: E402
-from kinship.session import get_session  # noqa: E402
+from kinship.session import apply_scale_conf, get_session  # noqa: E402
 from kinship.sources import generate, records, text  # noqa: E402
 
 ALIASES = {
@@ -142,6 +142,8 @@ def main(argv: list[str] | None = None) -> int:
         if args.task == "generate":
             run_generate(spark, args)
         else:
+            inputs = [p for v in (args.pages, args.follows, args.activity, args.lines) if v for p in v.split(",") if p]
+            apply_scale_conf(spark, inputs)
             build(spark, args).write.mode(args.mode).text(args.out)
     finally:
         spark.stop()

@@ -39,6 +39,47 @@ def session_conf(shuffle_partitions: int = 8) -> dict[str, str]:
     }
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of input.
+
+    * input splits of ``target_partition_bytes`` (256 MiB by default), so a
+      100 TB scan is ~400k tasks, a few waves on a 1000-executor cluster;
+    * an initial shuffle width that gives each reducer about that much data
+      before partial aggregation (never fewer than two tasks per core, and
+      capped where shuffle bookkeeping stops paying off); AQE then coalesces
+      small partitions toward the advisory size and splits skewed ones.
+    """
+    mib = 1024 * 1024
+    partitions = max(2 * total_cores, min(input_bytes // target_partition_bytes, 100_000))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(int(partitions)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mib),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * mib),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * mib),
+    }
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of files below ``paths``, on whatever file system they name."""
+    jvm = spark.sparkContext._jvm
+    hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(hadoop_conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def apply_scale_conf(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Size splits and shuffles for the inputs at ``paths`` on this cluster."""
+    conf = scale_conf(input_bytes(spark, paths), spark.sparkContext.defaultParallelism)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf
+
+
 def get_session(
     master: str | None = None,
     shuffle_partitions: int = 8,

@@ -123,7 +123,13 @@ def classify(lines: DataFrame, column: str = "value", keep_tokens: bool = False)
     """Add ``kind``; with ``keep_tokens`` also the non-empty tokens as
     ``_tokens``. The token array is projected once and then inspected, so
     each line is split a single time."""
-    with_tokens = lines.select("*", tokens(F.col(column)).alias("_tokens"))
+    # The tokens come out of a generator (``inline`` of a one-element array).
+    # Catalyst pushes a later filter such as ``kind = 'follows'`` through
+    # plain projections by copying their expressions into it, which would
+    # tokenize (and, for derived lines, render) every line once per
+    # reference; a predicate on a generator's output stays above it.
+    one = F.array(F.struct(tokens(F.col(column)).alias("_tokens")))
+    with_tokens = lines.select("*", F.inline(one))
     kinds = with_tokens.withColumn("kind", _kind_of_tokens(F.col("_tokens")))
     return kinds if keep_tokens else kinds.drop("_tokens")
 

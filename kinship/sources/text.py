@@ -136,7 +136,8 @@ def classify(lines: DataFrame, column: str = "value", keep_tokens: bool = False)
 
 def field_count(line: F.Column, sep: str = ",") -> F.Column:
     """Number of CSV fields of a line: separators outside quoted segments + 1."""
-    unquoted = F.regexp_replace(line, QUOTED_SEGMENT, "q")
+    # Quoted segments are only collapsed in lines that have a quote at all.
+    unquoted = F.when(F.instr(line, '"') > 0, F.regexp_replace(line, QUOTED_SEGMENT, "q")).otherwise(line)
     return F.size(F.split(unquoted, sep, -1))
 
 

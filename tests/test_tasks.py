@@ -130,3 +130,12 @@ def test_same_region_edges_and_degrees(micro):
         (3, 2, 0, 0),
         (5, 2, 1, 1),
     ]
+
+
+def test_outdated_pages_calendar_mode_time_of_day(spark, micro):
+    log = spark.createDataFrame(
+        [(1, 1, "2020-12-31 12:00:00"), (2, 2, "2020-10-02 12:00:00"), (3, 3, "2020-10-02 11:59:59")],
+        "action_id long, by_who long, action_time string",
+    ).selectExpr("action_id", "by_who", "to_timestamp_ntz(action_time) AS action_time")
+    # The cut-off is exactly 90 days before the latest time, to the second.
+    assert rows(recency.outdated_pages(micro.pages, log)) == [(3, "Cyd"), (4, "Dee"), (5, "Ann"), (6, "Fay")]

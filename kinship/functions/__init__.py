@@ -6,6 +6,7 @@ from kinship.functions.columns import (
     is_digits,
     render_follow_report,
     tokens,
+    trim_controls,
 )
 
-__all__ = ["epoch_days", "is_digits", "render_follow_report", "tokens"]
+__all__ = ["epoch_days", "is_digits", "render_follow_report", "tokens", "trim_controls"]

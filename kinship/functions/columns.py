@@ -26,6 +26,16 @@ def tokens(line: Column | str, sep: str = ",") -> Column:
     return F.regexp_extract_all(col, F.lit(f"[^{re.escape(sep)}]+"), 0)
 
 
+# Fixed value: characters removed by trimming, U+0000 through U+0020 (space
+# and all control characters), as the hobby key is trimmed.
+TRIM_PATTERN = "^[\\x00-\\x20]+|[\\x00-\\x20]+$"
+
+
+def trim_controls(value: Column) -> Column:
+    """Strip leading and trailing characters up to U+0020 (not only spaces)."""
+    return F.regexp_replace(value, TRIM_PATTERN, "")
+
+
 def is_digits(value: Column) -> Column:
     return value.rlike(DIGITS_PATTERN)
 

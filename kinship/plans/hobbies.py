@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinship.functions import trim_controls
 from kinship.operators import count_by
 
 
 def hobby_frequency(pages: DataFrame) -> DataFrame:
-    """(hobby, frequency): pages per favourite hobby, the hobby trimmed.
+    """(hobby, frequency): pages per favourite hobby, the hobby trimmed of
+    leading and trailing spaces and control characters.
 
     Map-side partial counts, one shuffle of at most (#hobbies x #tasks) rows.
     """
-    return count_by(pages.select(F.trim("fav_hobby").alias("hobby")), "hobby", "frequency")
+    return count_by(pages.select(trim_controls(F.col("fav_hobby")).alias("hobby")), "hobby", "frequency")
 
 
 def hobby_frequency_sorted(pages: DataFrame) -> DataFrame:

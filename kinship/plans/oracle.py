@@ -60,10 +60,12 @@ int_log AS (
 # Fixed value: the hobby picked for the hobby-members query on driver data.
 DRIVER_HOBBY = "Brand#7"
 
+_TRIMMED = "regexp_replace(fav_hobby, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+
 _BODIES = {
-    "hobby_frequency": "SELECT trim(fav_hobby) AS hobby, count(*) AS frequency FROM member_page GROUP BY 1",
+    "hobby_frequency": f"SELECT {_TRIMMED} AS hobby, count(*) AS frequency FROM member_page GROUP BY 1",
     "hobby_frequency_sorted": (
-        "SELECT trim(fav_hobby) AS hobby, count(*) AS frequency FROM member_page GROUP BY 1 ORDER BY 1"
+        f"SELECT {_TRIMMED} AS hobby, count(*) AS frequency FROM member_page GROUP BY 1 ORDER BY 1"
     ),
     "hobby_members": f"SELECT nickname, job_title FROM member_page WHERE fav_hobby = '{DRIVER_HOBBY}'",
     "page_visits": (

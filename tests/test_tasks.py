@@ -12,8 +12,10 @@ def test_hobby_frequency(micro):
 
 
 def test_hobby_frequency_trims(spark):
-    pages = spark.createDataFrame([(1, " Reading "), (2, "Reading")], "id long, fav_hobby string")
-    assert rows(hobbies.hobby_frequency(pages)) == [("Reading", 2)]
+    pages = spark.createDataFrame(
+        [(1, " Reading "), (2, "Reading"), (3, "\tReading\r"), (4, "Rock Climbing ")], "id long, fav_hobby string"
+    )
+    assert rows(hobbies.hobby_frequency(pages)) == [("Reading", 3), ("Rock Climbing", 1)]
 
 
 def test_hobby_members_exact_match(micro):

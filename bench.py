@@ -76,9 +76,12 @@ def main() -> None:
         pages = text.read_pages(spark, paths["pages"])
         follows = text.read_follows(spark, paths["follows"])
         activity = text.read_activity(spark, paths["activity"])
-        times["ref_scale_D_follower_count"] = round(run(followers.follower_count(follows, pages)), 3)
+        # The two runs compared with the published times: best of two, like the queries above.
+        times["ref_scale_D_follower_count"] = round(
+            min(run(followers.follower_count(follows, pages)) for _ in range(2)), 3
+        )
         times["ref_scale_D_follower_count_dedup"] = round(run(followers.follower_count_dedup(follows, pages)), 3)
-        times["ref_scale_E_access_by_page"] = round(run(access.access_by_page(activity)), 3)
+        times["ref_scale_E_access_by_page"] = round(min(run(access.access_by_page(activity)) for _ in range(2)), 3)
         times["ref_scale_E_access_by_person"] = round(run(access.access_by_person(activity)), 3)
 
     compare = {}

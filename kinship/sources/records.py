@@ -1,4 +1,5 @@
-"""Text lines derived from the tables, and the two source-level queries.
+"""Text lines derived from the tables, the source-level queries, and the
+split of a mixed folder into typed inputs.
 
 The three inputs are rendered back into the headerless CSV lines their
 files hold (Spark's own CSV writer rules: a field with a comma or quote is
@@ -9,6 +10,8 @@ quoted), with follow dates as whole day numbers and activity times as
 * :func:`malformed_rows` parses every line with the activity schema, as a
   scan pointed at the mixed folder would, and counts the parse outcomes per
   source file.
+* :func:`typed_from_mixed` keeps the lines of each kind and takes their ids
+  from the tokens, which is how tasks D and E read a mixed folder.
 """
 
 from __future__ import annotations

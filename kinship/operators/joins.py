@@ -32,7 +32,7 @@ def bounded_lookup(
     semi-join against the bounded keys, which leaves at most one row per
     bounded key after de-duplication, and only that remainder is broadcast
     back for the outer join. Unmatched keys keep their row, with ``default``
-    in every label column.
+    in every label column (a matched record's NULL fields stay NULL).
     """
     keys = bounded.select(F.col(key).alias("_lookup_key")).distinct()
     hits = (
@@ -41,8 +41,11 @@ def bounded_lookup(
         .dropDuplicates(["_lookup_key"])
     )
     joined = bounded.join(F.broadcast(hits), F.col(key) == F.col("_lookup_key"), "left")
+    # The default marks keys without a record; a record's own empty field stays as it is.
+    missing = F.col("_lookup_key").isNull()
     labelled = [
-        (F.coalesce(F.col(c), F.lit(default)) if default is not None else F.col(c)).alias(c) for c in columns
+        (F.when(missing, F.lit(default)).otherwise(F.col(c)) if default is not None else F.col(c)).alias(c)
+        for c in columns
     ]
     others = [c for c in bounded.columns if c not in columns]
     return joined.select(*[F.col(c) for c in others], *labelled)

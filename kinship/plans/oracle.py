@@ -72,8 +72,8 @@ _BODIES = {
         "SELECT page_id, count(*) AS visits FROM activity_log WHERE page_id IS NOT NULL GROUP BY page_id"
     ),
     "top_pages": """
-        SELECT t.page_id, coalesce(p.nickname, 'Unknown') AS nickname,
-               coalesce(p.job_title, 'Unknown') AS job_title, t.visits
+        SELECT t.page_id, CASE WHEN p.id IS NULL THEN 'Unknown' ELSE p.nickname END AS nickname,
+               CASE WHEN p.id IS NULL THEN 'Unknown' ELSE p.job_title END AS job_title, t.visits
         FROM (SELECT page_id, count(*) AS visits FROM activity_log WHERE page_id IS NOT NULL
               GROUP BY page_id ORDER BY visits DESC, page_id ASC LIMIT 10) t
         LEFT JOIN member_page p ON p.id = t.page_id

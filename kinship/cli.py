@@ -113,13 +113,16 @@ def build(spark: SparkSession, args) -> DataFrame:
         return _as_text(result, ["id"], ["n_follows"])
     if task == "outdated-pages":
         _need(args, "activity", "pages")
-        log = text.read_activity(spark, args.activity, integer_time=integer_time)
-        pages = text.read_pages(spark, args.pages)
+        # The recency and reciprocity tasks accept ids and times padded with spaces.
+        log = text.read_activity(spark, args.activity, integer_time=integer_time, trim_numbers=True)
+        pages = text.read_pages(spark, args.pages, trim_numbers=True)
         plan = recency.outdated_pages_int if integer_time else recency.outdated_pages
         return _as_text(plan(pages, log, args.max_gap), ["id"], ["nickname"])
     if task == "not-followed-back":
         _need(args, "follows", "pages")
-        rows = reciprocity.not_followed_back(text.read_follows(spark, args.follows), text.read_pages(spark, args.pages))
+        rows = reciprocity.not_followed_back(
+            text.read_follows(spark, args.follows, trim_numbers=True), text.read_pages(spark, args.pages, trim_numbers=True)
+        )
         report = rows.select("id", render_follow_report(F.col("nickname"), F.col("followed_id")).alias("report"))
         return _as_text(report, ["id"], ["report"])
     if task == "record-types":

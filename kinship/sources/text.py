@@ -55,15 +55,43 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
     return list(paths)
 
 
+# Fixed value: characters stripped from number and date fields when a scan
+# trims them, U+0000 through U+0020.
+NUMBER_PADDING = "".join(chr(i) for i in range(0x21))
+
+
+def _trimmed_cast(value: F.Column, data_type: T.DataType) -> F.Column:
+    stripped = F.btrim(value, F.lit(NUMBER_PADDING))
+    if isinstance(data_type, T.DateType):
+        return F.to_date(F.try_to_timestamp(stripped, F.lit(CSV_OPTIONS["dateFormat"])))
+    return stripped.try_cast(data_type)
+
+
 def read_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
     schema: T.StructType,
     mode: str = "PERMISSIVE",
     keep_corrupt: bool = False,
+    trim_numbers: bool = False,
 ) -> DataFrame:
     """Typed scan of one or more headerless CSV paths (files or folders;
-    a single string may hold several comma-separated paths)."""
+    a single string may hold several comma-separated paths).
+
+    With ``trim_numbers`` (PERMISSIVE only), number and date fields may be
+    padded with spaces or control characters: they are read as text,
+    stripped and then cast (a failed cast gives NULL); text fields are kept
+    exactly as written."""
+    if trim_numbers and mode == "PERMISSIVE":
+        as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+        raw = spark.read.options(**CSV_OPTIONS).option("mode", mode).schema(as_text).csv(_paths(paths))
+        return raw.select(
+            *[
+                (F.col(f.name) if isinstance(f.dataType, T.StringType) else _trimmed_cast(F.col(f.name), f.dataType))
+                .alias(f.name)
+                for f in schema.fields
+            ]
+        )
     reader = spark.read.options(**CSV_OPTIONS).option("mode", mode)
     if keep_corrupt and mode == "PERMISSIVE":
         schema = schemas.with_corrupt_column(schema)
@@ -71,16 +99,22 @@ def read_csv(
     return reader.schema(schema).csv(_paths(paths))
 
 
-def read_pages(spark: SparkSession, paths, mode: str = "PERMISSIVE") -> DataFrame:
-    return read_csv(spark, paths, schemas.PAGE, mode)
+def read_pages(spark: SparkSession, paths, mode: str = "PERMISSIVE", trim_numbers: bool = False) -> DataFrame:
+    return read_csv(spark, paths, schemas.PAGE, mode, trim_numbers=trim_numbers)
 
 
-def read_follows(spark: SparkSession, paths, mode: str = "PERMISSIVE", integer_time: bool = False) -> DataFrame:
-    return read_csv(spark, paths, schemas.FOLLOWS_INT if integer_time else schemas.FOLLOWS, mode)
+def read_follows(
+    spark: SparkSession, paths, mode: str = "PERMISSIVE", integer_time: bool = False, trim_numbers: bool = False
+) -> DataFrame:
+    schema = schemas.FOLLOWS_INT if integer_time else schemas.FOLLOWS
+    return read_csv(spark, paths, schema, mode, trim_numbers=trim_numbers)
 
 
-def read_activity(spark: SparkSession, paths, mode: str = "PERMISSIVE", integer_time: bool = False) -> DataFrame:
-    return read_csv(spark, paths, schemas.ACTIVITY_INT if integer_time else schemas.ACTIVITY, mode)
+def read_activity(
+    spark: SparkSession, paths, mode: str = "PERMISSIVE", integer_time: bool = False, trim_numbers: bool = False
+) -> DataFrame:
+    schema = schemas.ACTIVITY_INT if integer_time else schemas.ACTIVITY
+    return read_csv(spark, paths, schema, mode, trim_numbers=trim_numbers)
 
 
 def read_key_value(spark: SparkSession, paths, schema: T.StructType | str) -> DataFrame:

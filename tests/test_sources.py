@@ -108,3 +108,17 @@ def test_malformed_rows_on_mixed_lines(spark, micro):
                                 micro.activity.withColumn("action_time", F.to_date(F.lit("2000-01-01"))))
     got = rows(records.malformed_rows(lines))
     assert got == [("activity", "ok", 8), ("follows", "bad_field", 12), ("page", "bad_field", 6)]
+
+
+def test_trimmed_number_scan(spark, tmp_path):
+    path = tmp_path / "padded.csv"
+    path.write_text("1, 2 ,3\t,viewed , 1999-01-01\n2,x,3,viewed,1999-1-1x\n")
+    plain = rows(text.read_activity(spark, str(path)))
+    assert plain[0][1] is None  # without trimming a padded number is unparsable
+    got = rows(text.read_activity(spark, str(path), trim_numbers=True))
+    assert [tuple(map(str, r)) for r in got] == [
+        ("1", "2", "3", "viewed ", "1999-01-01"),
+        ("2", "None", "3", "viewed", "None"),
+    ]
+    ints = rows(text.read_activity(spark, str(path), integer_time=True, trim_numbers=True))
+    assert ints[0][:3] == (1, 2, 3) and ints[0][4] is None

@@ -34,7 +34,8 @@ def bounded_lookup(
     back for the outer join. Unmatched keys keep their row, with ``default``
     in every label column (a matched record's NULL fields stay NULL).
     """
-    keys = bounded.select(F.col(key).alias("_lookup_key")).distinct()
+    # At most as many keys as bounded rows; repeated keys do not change a semi join.
+    keys = bounded.select(F.col(key).alias("_lookup_key"))
     hits = (
         table.join(F.broadcast(keys), F.col(table_key) == F.col("_lookup_key"), "left_semi")
         .select(F.col(table_key).alias("_lookup_key"), *columns)

@@ -42,3 +42,26 @@ def test_cli_tasks(spark, micro_paths, tmp_path):
         "follows\t12",
         "page\t6",
     ]
+
+
+def test_cli_main_writes_and_refuses_existing(micro_paths, tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "PYTHONPATH": root, "KINSHIP_DRIVER_MEMORY": "2g"}
+    out = str(tmp_path / "b")
+    cmd = [
+        sys.executable, "-m", "kinship", "B",
+        "--activity", micro_paths["activity"], "--pages", micro_paths["pages"],
+        "--k", "2", "--out", out, "--master", "local[2]",
+    ]
+    assert subprocess.run(cmd, env=env, capture_output=True, timeout=600).returncode == 0
+    written = sorted(
+        line for name in os.listdir(out) if name.startswith("part-") for line in open(os.path.join(out, name))
+    )
+    assert written == ["2,Bob,Analyst\t3\n", "3,Cyd,Engineer\t3\n"]
+    # An existing output folder is refused unless --mode overwrite is given.
+    assert subprocess.run(cmd, env=env, capture_output=True, timeout=600).returncode != 0
+    assert subprocess.run(cmd + ["--mode", "overwrite"], env=env, capture_output=True, timeout=600).returncode == 0

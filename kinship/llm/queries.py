@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinship.llm import chat, secret_scan, word_bpe
+from kinship.llm import chat, minhash, secret_scan, word_bpe
 from kinship.llm.common import table
 
 # The folder of the public tokenizer files; a parameter of the environment.
@@ -16,6 +16,10 @@ TOKENIZERS = os.environ.get("KINSHIP_TOKENIZERS", "/opt/tokenizers")
 WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, share=(85, 100))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.digest(word_bpe.encode_decode(table(spark, sf_dir, "documents"), WORD_BPE))
 
@@ -35,12 +39,46 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash": op2_minhash,
     "op7_bpe": op7_bpe,
     "op9_chat": op9_chat,
     "op10_secrets": op10_secrets,
 }
 
 ORACLE_SQL = {
+    "op2_minhash": """
+        WITH RECURSIVE said AS (
+            SELECT doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+            FROM documents
+        ),
+        sets AS (
+            SELECT doc_id, CASE
+                WHEN len(words) = 0 THEN []
+                WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+                ELSE list_distinct(list_transform(
+                    range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]))
+            END AS shingles
+            FROM said
+        ),
+        flat AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+        shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both, any_value(x.n) AS n_a, any_value(y.n) AS n_b
+            FROM flat AS x JOIN flat AS y ON x.shingle = y.shingle AND x.doc_id < y.doc_id
+            GROUP BY 1, 2
+        ),
+        link AS (SELECT a, b FROM shared WHERE 100 * n_both >= 85 * (n_a + n_b - n_both)),
+        edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+        reach(doc_id, r) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION
+            SELECT reach.doc_id, edge.b FROM reach JOIN edge ON reach.r = edge.a
+        ),
+        low AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+        SELECT sets.doc_id, len(shingles)::BIGINT AS n_shingles, component_id, sets.doc_id = component_id AS kept
+        FROM sets JOIN low ON sets.doc_id = low.doc_id
+    """,
     "op9_chat": """
         WITH said AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

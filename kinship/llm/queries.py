@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinship.llm import chat, forest, minhash, secret_scan, word_bpe
+from kinship.llm import chat, forest, license_scan, minhash, secret_scan, word_bpe
 from kinship.llm.common import table
 
 # The folder of the public tokenizer files; a parameter of the environment.
@@ -20,6 +20,10 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, share=(85, 100))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op4_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, k=10)
 
@@ -44,6 +48,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
+    "op3_licenses": op3_licenses,
     "op4_forest": op4_forest,
     "op7_bpe": op7_bpe,
     "op9_chat": op9_chat,

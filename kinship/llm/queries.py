@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinship.llm import chat, forest, license_scan, minhash, secret_scan, word_bpe
+from kinship.llm import chat, forest, language_id, license_scan, minhash, secret_scan, word_bpe
 from kinship.llm.common import table
 
 # The folder of the public tokenizer files; a parameter of the environment.
@@ -28,6 +28,10 @@ def op4_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, k=10)
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.held_out_languages(table(spark, sf_dir, "documents"), folds=4, fold=2)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.digest(word_bpe.encode_decode(table(spark, sf_dir, "documents"), WORD_BPE))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash": op2_minhash,
     "op3_licenses": op3_licenses,
     "op4_forest": op4_forest,
+    "op6_language": op6_language,
     "op7_bpe": op7_bpe,
     "op9_chat": op9_chat,
     "op10_secrets": op10_secrets,

@@ -34,12 +34,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinship.llm.common import numbered, written
 from kinship.llm.components import components
+from kinship.llm.hashing import WORDS, mixed
 
 BANDS, ROWS = 24, 6
 
@@ -49,34 +49,10 @@ BATCH = 24
 # Buckets left over with more members are cut by a second band.
 LARGE_BUCKET = 64
 
-# Words whose hashes a worker keeps; with more, it starts anew.
-KEPT_WORDS = 500_000
-
 # Shingles hashed at a time, which bounds the memory of a very long text.
 CHUNK = 2048
 
 
-class WordHash(dict):
-    """64-bit hashes of words, each computed once while it is kept."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_HASH = WordHash()
-_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(32), np.uint64(29))
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    a, b, s, t = _MIX
-    h = (h ^ (h >> s)) * a
-    h = (h ^ (h >> t)) * b
-    return h ^ (h >> s)
-
-
 def shingles(text: str, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles of a whole text.
 
@@ -85,11 +61,11 @@ def shingles(text: str, words: int) -> np.ndarray:
     found = text.encode("utf-8", "surrogatepass").lower().split()
     if not found:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_HASH.__getitem__, found), np.uint64, len(found))
+    h = np.fromiter(map(WORDS.__getitem__, found), np.uint64, len(found))
     width = min(words, len(found))
     out = np.full(len(found) - width + 1, width, np.uint64)
     for i in range(width):
-        out = _mixed(out + h[i : len(h) - width + 1 + i])
+        out = mixed(out + h[i : len(h) - width + 1 + i])
     return np.unique(out)
 
 

@@ -5,7 +5,8 @@ text: words and pairs of words in one half of the buckets, runs of four bytes
 in the other, each half as shares of its total. It is fitted by Spark's
 distributed solver on a bounded sample of labelled rows; its margin is then
 turned into a probability by a logistic curve that is fitted on the part of
-the sample that the classifier has not seen. Scoring goes over Arrow batches;
+the sample that the classifier has not seen, weighted by how often each label
+occurs among all labels. Scoring goes over Arrow batches;
 the verdict compares the probability with a fixed threshold.
 
 Bounds of the fit (parameters): at most ``sample_rows`` rows of each label,
@@ -160,10 +161,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> C
 
     seen = sample.where(later).select("f", "label").mapInArrow(margin, "margin double, label double")
     seen = written(seen.coalesce(2), "ngram-calibration")
-    if seen.select("label").distinct().count() < 2:
+    drawn = {r["label"]: r["n"] for r in seen.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(drawn) < 2:
         return Classifier(weights, intercept, 1.0, 0.0)
-    curve = LogisticRegression(standardization=True, regParam=PENALTY, maxIter=60).fit(
-        seen.select(array_to_vector(F.array("margin")).alias("features"), "label")
+    # The sample holds as many rows of either label; the curve is to know how often each occurs.
+    whole = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(whole.values())
+    of_label = {label: whole[int(label)] / total * sum(drawn.values()) / n for label, n in drawn.items()}
+    weight = F.when(F.col("label") == 1, of_label[1.0]).otherwise(of_label[0.0])
+    curve = LogisticRegression(standardization=True, regParam=PENALTY, maxIter=60, weightCol="weight").fit(
+        seen.select(array_to_vector(F.array("margin")).alias("features"), "label", weight.alias("weight"))
     )
     return Classifier(weights, intercept, float(curve.coefficients[0]), float(curve.intercept))
 

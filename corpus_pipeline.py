@@ -1,22 +1,64 @@
-"""Corpus pipeline: stages over ``documents``, each written and read again."""
+"""Corpus pipeline: stages over ``documents``, each written and read again.
+
+The stages learn from the whole ``labels`` table. Nothing is sampled but what
+a classifier is fitted on; each stage works on all that its predecessor kept.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kinship.llm import secret_scan
+from kinship.llm import minhash, mixing, pairwise_quality, queries, secret_scan, word_bpe
 from kinship.llm.common import table, written
 
+# Target weights of the mixture: toxic text is cut down to this share, clean text stays whole.
+SHARES = {"clean": 0.98, "toxic": 0.02}
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the pairwise classifier rejects go."""
+    return pairwise_quality.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, the one of the smallest doc_id.
+
+    Rows that repeat an id are one document, of which one row stays; rows
+    without an id stay.
+    """
+    judged = minhash.near_duplicates(docs.select("doc_id", "text"), words=5, share=(80, 100))
+    kept = judged.where(F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts the values of live secrets out of the texts; every document stays."""
     return secret_scan.redact(docs)
 
 
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes documents at the rates that fit the target weights, each at most once."""
+    labelled = mixing.label_domains(table(spark, sf_dir, "labels"))
+    domain = F.when(F.col("domain") == "toxic", "toxic").otherwise("clean")
+    return mixing.mixed(docs, labelled.withColumn("domain", domain), SHARES, "clean")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and digests of them and of the decoded text."""
+    coded = word_bpe.encode_decode(docs, queries.WORD_BPE)
+    return word_bpe.digest(coded)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
     ("secrets", secrets),
+    ("mixture", mixture),
+    ("tokens", tokens),
 ]
 
 # Trained models decide in the first and the fourth stage, which SQL can't express.

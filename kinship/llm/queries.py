@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kinship.llm import (
     chat,
@@ -13,6 +14,7 @@ from kinship.llm import (
     language_id,
     license_scan,
     minhash,
+    mixing,
     ngram_quality,
     pairwise_quality,
     secret_scan,
@@ -26,6 +28,17 @@ TOKENIZERS = os.environ.get("KINSHIP_TOKENIZERS", "/opt/tokenizers")
 WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
 
 
+# Target weights of the label domains in the mixture.
+MIXTURE = {"good": 0.90, "poor": 0.05, "toxic": 0.05}
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    mixed = mixing.mix(docs, mixing.label_domains(labels), MIXTURE)
+    parts = (F.col("posterior")[i].alias(f"p_{domain}") for i, domain in enumerate(MIXTURE))
+    return mixed.select("doc_id", "n_tokens", *parts, "rate", "copies")
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, share=(85, 100))
 
@@ -70,6 +83,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_minhash": op2_minhash,
     "op3_licenses": op3_licenses,
     "op4_forest": op4_forest,

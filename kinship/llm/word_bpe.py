@@ -43,6 +43,10 @@ CELLS = 400_000
 
 NEVER = 1 << 62
 
+# What Python splits at and Unicode does not count as white space.
+NO_SPACE = regex.compile("[\x1c-\x1f]")
+SPACE = regex.compile(r"\p{White_Space}+")
+
 
 def byte_alphabet() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies.
@@ -284,7 +288,8 @@ class WordBpe:
                 if piece in self.special:
                     chunks.append(piece)
                 else:
-                    chunks += self.normalise(piece).split()
+                    body = self.normalise(piece)
+                    chunks += SPACE.split(body) if NO_SPACE.search(body) else body.split()
             rows.append(chunks)
         if len(self.kept) > KEPT_CHUNKS:
             self.kept.clear()

@@ -3,7 +3,7 @@
     python -m kinship top-pages --activity log/ --pages pages.csv --out result/
     spark-submit kinship/cli.py follower-count --lines data/ --out result/
 
-Inputs may be files or folders; several paths are separated by commas. Each
+Inputs may be files, folders or patterns; several paths are separated by commas. Each
 task also accepts its letter (A-H). Output folders are refused if they exist
 unless ``--mode overwrite`` is given.
 """
@@ -52,6 +52,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--k", type=int, default=10, help="task B: number of pages")
     p.add_argument("--by", default="page", choices=["page", "person"], help="task E: group by page or by person")
     p.add_argument("--all-owners", action="store_true", help="task F: average over all page owners")
+    p.add_argument("--people", action="store_true", help="task H: each person once, not each follow")
     p.add_argument("--time", default="date", choices=["date", "int"], help="task G: time column type")
     p.add_argument("--max-gap", type=int, default=90, help="task G: idle days (or units)")
     p.add_argument("--users", type=int, default=generate.N_USERS, help="generate: pages")
@@ -88,11 +89,13 @@ def build(spark: SparkSession, args) -> DataFrame:
         return _as_text(hobbies.hobby_members(text.read_pages(spark, args.pages), args.hobby), ["nickname"], ["job_title"])
     if task == "follower-count":
         if args.lines:
-            pages, follows, _ = records.typed_from_mixed(text.read_lines(spark, args.lines))
+            records_of = records.follower_records(text.read_lines(spark, args.lines))
+            result = followers.follower_count_of_records(records_of)
         else:
             _need(args, "pages", "follows")
             pages, follows = text.read_pages(spark, args.pages), text.read_follows(spark, args.follows)
-        return _as_text(followers.follower_count(follows, pages), ["id", "nickname"], ["n_followers"])
+            result = followers.follower_count(follows, pages)
+        return _as_text(result, ["id", "nickname"], ["n_followers"])
     if task == "access":
         if args.lines:
             _, _, log = records.typed_from_mixed(text.read_lines(spark, args.lines))
@@ -120,9 +123,11 @@ def build(spark: SparkSession, args) -> DataFrame:
         return _as_text(plan(pages, log, args.max_gap), ["id"], ["nickname"])
     if task == "not-followed-back":
         _need(args, "follows", "pages")
-        rows = reciprocity.not_followed_back(
-            text.read_follows(spark, args.follows, trim_numbers=True), text.read_pages(spark, args.pages, trim_numbers=True)
-        )
+        follows = text.read_follows(spark, args.follows, trim_numbers=True)
+        pages = text.read_pages(spark, args.pages, trim_numbers=True)
+        if args.people:
+            return _as_text(reciprocity.not_followed_back_people(follows, pages), ["id"], ["nickname"])
+        rows = reciprocity.not_followed_back(follows, pages)
         report = rows.select("id", render_follow_report(F.col("nickname"), F.col("followed_id")).alias("report"))
         return _as_text(report, ["id"], ["report"])
     if task == "record-types":

@@ -9,6 +9,7 @@ from kinship.operators.aggregate import (
     total_and_distinct,
 )
 from kinship.operators.joins import bounded_lookup, full_outer_with_defaults
+from kinship.operators.keys import keyed, one_record_per_id
 from kinship.operators.reciprocity import (
     anti_join_reversed,
     canonical_pairs,
@@ -27,6 +28,8 @@ __all__ = [
     "distinct_count_by",
     "full_outer_with_defaults",
     "global_scalar",
+    "keyed",
+    "one_record_per_id",
     "one_way_edges",
     "pair_rollup",
     "top_k",

@@ -1,9 +1,7 @@
 """Join operators.
 
-Broadcast policy: an explicit ``broadcast()`` is only placed on a side whose
-size is bounded by construction (a top-k result, a one-row aggregate). Every
-other join is left to Spark, whose planner broadcasts a side only when its
-size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` and which,
+Broadcast policy: no join forces a broadcast. Spark's planner broadcasts a
+side only when its size estimate (for a top-k, its row limit) is under ``spark.sql.autoBroadcastJoinThreshold`` and which,
 under AQE, re-plans with the measured size of finished shuffle stages. Above
 the threshold the join is a shuffled sort-merge join, with AQE splitting
 skewed partitions.
@@ -28,20 +26,23 @@ def bounded_lookup(
     """Left-join ``bounded`` (a result with a known small row count, such as a
     top-k) to label ``columns`` of a possibly huge ``table``.
 
-    The table is never shuffled: it is streamed through a broadcast
-    semi-join against the bounded keys, which leaves at most one row per
-    bounded key after de-duplication, and only that remainder is broadcast
-    back for the outer join. Unmatched keys keep their row, with ``default``
-    in every label column (a matched record's NULL fields stay NULL).
+    The table meets the bounded keys in a semi-join, which Spark turns into a
+    broadcast join where its size check finds the keys small; then the table
+    is not shuffled. Of several records of a key the smallest counts (field
+    by field, a missing one last). Unmatched keys keep their row, with
+    ``default`` in every label column (a matched record's NULL fields stay
+    NULL).
     """
     # At most as many keys as bounded rows; repeated keys do not change a semi join.
     keys = bounded.select(F.col(key).alias("_lookup_key"))
+    fields = [f for c in columns for f in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]
     hits = (
-        table.join(F.broadcast(keys), F.col(table_key) == F.col("_lookup_key"), "left_semi")
-        .select(F.col(table_key).alias("_lookup_key"), *columns)
-        .dropDuplicates(["_lookup_key"])
+        table.join(keys, F.col(table_key) == F.col("_lookup_key"), "left_semi")
+        .groupBy(F.col(table_key).alias("_lookup_key"))
+        .agg(F.min(F.struct(*fields)).alias("_record"))
+        .select("_lookup_key", *(F.col("_record")[c].alias(c) for c in columns))
     )
-    joined = bounded.join(F.broadcast(hits), F.col(key) == F.col("_lookup_key"), "left")
+    joined = bounded.join(hits, F.col(key) == F.col("_lookup_key"), "left")
     # The default marks keys without a record; a record's own empty field stays as it is.
     missing = F.col("_lookup_key").isNull()
     labelled = [

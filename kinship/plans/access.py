@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinship.operators import pair_rollup, total_and_distinct
+from kinship.operators import keyed, pair_rollup, total_and_distinct
 
 
 def _log(activity: DataFrame, key: str) -> DataFrame:
-    return activity.where(F.col(key).isNotNull()).select("by_who", "page_id")
+    return keyed(activity, key).select("by_who", "page_id")
 
 
 def access_by_page(activity: DataFrame) -> DataFrame:

@@ -28,8 +28,8 @@ def _mixed(t: Inputs):
 
 
 def _from_text_follower_count(t: Inputs) -> DataFrame:
-    pages, follows, _ = _mixed(t)
-    return followers.follower_count(follows, pages)
+    lines = records.mixed_lines(t.pages, t.follows, t.activity)
+    return followers.follower_count_of_records(records.follower_records(lines))
 
 
 def _from_text_access_by_page(t: Inputs) -> DataFrame:
@@ -37,9 +37,9 @@ def _from_text_access_by_page(t: Inputs) -> DataFrame:
     return access.access_by_page(activity)
 
 
-def _q(fn) -> Query:
+def _q(fn, view: str = "parts") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Inputs(spark, sf_dir))
+        return fn(Inputs(spark, sf_dir, view))
 
     run.__name__ = getattr(fn, "__name__", "query")
     return run
@@ -70,6 +70,7 @@ QUERIES: dict[str, Query] = {
     # Task G
     "latest_activity": _q(lambda t: recency.latest_activity(t.activity)),
     "last_seen": _q(lambda t: recency.last_seen(t.activity)),
+    "last_seen_int": _q(lambda t: recency.last_seen_int(_int_time(t.activity))),
     "outdated_pages": _q(lambda t: recency.outdated_pages(t.pages, t.activity, max_gap=90)),
     "outdated_pages_int": _q(lambda t: recency.outdated_pages_int(t.pages, _int_time(t.activity), max_gap=90)),
     # Task H
@@ -82,6 +83,22 @@ QUERIES: dict[str, Query] = {
     # Sources: the tables rendered as mixed CSV text
     "record_type_counts": _q(lambda t: records.record_type_counts(records.mixed_lines(t.pages, t.follows, t.activity))),
     "malformed_rows": _q(lambda t: records.malformed_rows(records.mixed_lines(t.pages, t.follows, t.activity))),
+    "malformed_rows_narrow": _q(
+        lambda t: records.malformed_rows(
+            records.mixed_lines(t.pages, t.follows, t.activity).unionByName(records.narrow_lines(t.orders))
+        )
+    ),
+    # Views in which pages have no follower, and visited or followed ids no page
+    "follower_count_reversed": _q(lambda t: followers.follower_count(t.follows, t.pages), "reversed"),
+    "follower_count_dedup_reversed": _q(lambda t: followers.follower_count_dedup(t.follows, t.pages), "reversed"),
+    "popular_users_reversed": _q(lambda t: followers.popular_users(t.follows), "reversed"),
+    "popular_users_all_owners_reversed": _q(
+        lambda t: followers.popular_users_all_owners(t.follows, t.pages), "reversed"
+    ),
+    "follower_count_customers": _q(lambda t: followers.follower_count(t.follows, t.pages), "customers"),
+    "top_pages_customers": _q(lambda t: visits.top_pages(t.activity, t.pages, k=10), "customers"),
+    "outdated_pages_customers": _q(lambda t: recency.outdated_pages(t.pages, t.activity, max_gap=90), "customers"),
+    "not_followed_back_customers": _q(lambda t: reciprocity.not_followed_back(t.follows, t.pages), "customers"),
     # Tasks D and E fed from one mixed text folder, as the original jobs read it
     "follower_count_from_text": _q(lambda t: _from_text_follower_count(t)),
     "access_by_page_from_text": _q(lambda t: _from_text_access_by_page(t)),

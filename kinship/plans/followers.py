@@ -11,19 +11,21 @@ from kinship.operators import (
     distinct_count_by,
     full_outer_with_defaults,
     global_scalar,
+    keyed,
+    one_record_per_id,
 )
 
 
 def _edges(follows: DataFrame) -> DataFrame:
-    return follows.where(F.col("id2").isNotNull()).select("id1", "id2")
+    return keyed(follows, "id2").select("id1", "id2")
 
 
 def _with_names(counts: DataFrame, pages: DataFrame) -> DataFrame:
     # Aggregate first, join after: both sides have one row per key, so the
     # full outer join is a balanced sort-merge join however skewed the raw
-    # follows are.
+    # follows are, and it needs no shuffle beyond those of the aggregates.
     return full_outer_with_defaults(
-        pages.select("id", "nickname"),
+        one_record_per_id(pages, "nickname"),
         "id",
         counts,
         "id2",
@@ -45,6 +47,22 @@ def follower_count_dedup(follows: DataFrame, pages: DataFrame) -> DataFrame:
     return _with_names(dedup_then_count(_edges(follows), "id2", "id1", "n_followers"), pages)
 
 
+def follower_count_of_records(records: DataFrame) -> DataFrame:
+    """Same answer as :func:`follower_count`, from one table of records (id,
+    follower, nickname): a page record has no follower, a follow record no
+    nickname, and ``id`` is the page or the followed member.
+
+    Records are reduced by (id, follower) first, so the followers of a hot
+    page are spread over all tasks, then by id. The records are read once;
+    no join is needed.
+    """
+    pairs = keyed(records, "id").groupBy("id", "follower").agg(F.min("nickname").alias("nickname"))
+    return pairs.groupBy("id").agg(
+        F.coalesce(F.min("nickname"), F.lit("")).alias("nickname"),
+        F.count("follower").alias("n_followers"),
+    )
+
+
 def follows_received(follows: DataFrame) -> DataFrame:
     """(id, n_follows): follow rows per followed id (duplicates counted)."""
     return count_by(_edges(follows).select(F.col("id2").alias("id")), "id", "n_follows")
@@ -72,7 +90,7 @@ def popular_users_all_owners(follows: DataFrame, pages: DataFrame) -> DataFrame:
     """(id, n_follows) of page owners with strictly more follow rows than the
     average over all page owners (owners nobody follows count as 0)."""
     counts = follows_received(follows).withColumnRenamed("id", "_followed")
-    owners = pages.select("id").join(counts, F.col("id") == F.col("_followed"), "left").select(
+    owners = one_record_per_id(pages).join(counts, F.col("id") == F.col("_followed"), "left").select(
         "id", F.coalesce(F.col("n_follows"), F.lit(0).cast("long")).alias("n_follows")
     )
     return owners.where(F.col("n_follows") > _mean_of(owners, "n_follows"))

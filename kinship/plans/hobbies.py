@@ -6,16 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions import trim_controls
-from kinship.operators import count_by
+from kinship.operators import count_by, keyed
 
 
 def hobby_frequency(pages: DataFrame) -> DataFrame:
     """(hobby, frequency): pages per favourite hobby, the hobby trimmed of
-    leading and trailing spaces and control characters.
+    leading and trailing spaces and control characters. Pages without a hobby
+    are not counted.
 
     Map-side partial counts, one shuffle of at most (#hobbies x #tasks) rows.
     """
-    return count_by(pages.select(trim_controls(F.col("fav_hobby")).alias("hobby")), "hobby", "frequency")
+    hobbies = pages.select(trim_controls(F.col("fav_hobby")).alias("hobby"))
+    return count_by(keyed(hobbies, "hobby").where(F.col("hobby") != ""), "hobby", "frequency")
 
 
 def hobby_frequency_sorted(pages: DataFrame) -> DataFrame:

@@ -11,25 +11,28 @@ active included). Two time modes:
   number; a member's last time is floored at 0 and a missing latest time is
   0, so ``latest - last > max_gap`` is evaluated literally on those values.
 
-Plan. "Outdated" is the complement of "active since the cut-off", so instead
-of joining every page with every member's last time, the log is filtered by
-the cut-off (a scalar subquery: one value), reduced to distinct recent
-members and removed from the pages with a ``left_anti`` join. Only recent
-activity is shuffled; when it is small, AQE turns the join into a broadcast.
+Plan. The log is read once and reduced to the last time of each member, one
+row a member and map task before the shuffle. The latest time of the log is
+the maximum of those (a scalar subquery that reuses the same shuffle), and
+the pages, one record an id, are left-joined to them. Rows without a member
+count for the latest time, but belong to no page.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinship.operators import global_scalar
+from kinship.functions import trim_controls
+from kinship.operators import global_scalar, keyed, one_record_per_id
 
 DEFAULT_MAX_GAP = 90
 
 
-def _timed(activity: DataFrame) -> DataFrame:
-    return activity.where(F.col("action_time").isNotNull())
+# Stands for the member of rows that name none. The key is then never NULL, so
+# the join adds no filter of its own to the aggregate, which would keep the
+# scalar subquery from reusing the shuffle. No page has this id.
+NO_MEMBER = -(1 << 63)
 
 
 def latest_activity(activity: DataFrame) -> DataFrame:
@@ -39,33 +42,42 @@ def latest_activity(activity: DataFrame) -> DataFrame:
 
 def last_seen(activity: DataFrame) -> DataFrame:
     """(by_who, last_seen): each member's latest action time."""
-    return (
-        _timed(activity)
-        .where(F.col("by_who").isNotNull())
-        .groupBy("by_who")
-        .agg(F.max("action_time").alias("last_seen"))
-    )
+    timed = keyed(activity, "action_time", "by_who")
+    return timed.groupBy("by_who").agg(F.max("action_time").alias("last_seen"))
+
 
+def last_seen_int(activity: DataFrame) -> DataFrame:
+    """(by_who, last_seen) in integer time mode: no member's last time is below 0."""
+    seen = last_seen(activity)
+    return seen.select("by_who", F.greatest("last_seen", F.lit(0).cast("long")).alias("last_seen"))
 
-def _not_recent(pages: DataFrame, timed: DataFrame, cutoff) -> DataFrame:
-    recent = timed.where(F.col("action_time") >= cutoff).select(F.col("by_who").alias("_recent")).dropDuplicates()
-    return pages.join(recent, F.col("id") == F.col("_recent"), "left_anti")
+
+def _pages_with_last(pages: DataFrame, activity: DataFrame) -> tuple[DataFrame, Column]:
+    """Pages (id, nickname) with their owner's last time (NULL: never active), and the log's latest time."""
+    member = F.coalesce(F.col("by_who"), F.lit(NO_MEMBER)).alias("_member")
+    last = (
+        keyed(activity, "action_time")
+        .select(member, "action_time")
+        .groupBy("_member")
+        .agg(F.max("action_time").alias("_last"))
+    )
+    latest = global_scalar(last, F.max("_last"))
+    named = one_record_per_id(pages.withColumn("nickname", trim_controls(F.col("nickname"))), "nickname")
+    return named.join(last, F.col("id") == F.col("_member"), "left"), latest
 
 
 def outdated_pages(pages: DataFrame, activity: DataFrame, max_gap: int = DEFAULT_MAX_GAP) -> DataFrame:
     """(id, nickname) of pages whose owner was idle for more than ``max_gap``
     days before the latest activity (calendar time mode)."""
-    timed = _timed(activity)
-    latest = global_scalar(timed, F.max("action_time"))
-    cutoff = latest - F.expr(f"INTERVAL {int(max_gap)} DAYS")
-    return _not_recent(pages, timed, cutoff).where(latest.isNotNull()).select("id", "nickname")
+    seen, latest = _pages_with_last(pages, activity)
+    idle = F.col("_last").isNull() | (latest - F.expr(f"INTERVAL {int(max_gap)} DAYS") > F.col("_last"))
+    return seen.where(latest.isNotNull() & idle).select("id", "nickname")
 
 
 def outdated_pages_int(pages: DataFrame, activity: DataFrame, max_gap: int = DEFAULT_MAX_GAP) -> DataFrame:
     """(id, nickname) of pages with ``latest - last > max_gap`` where the
     action time is a whole number (integer time mode)."""
-    timed = _timed(activity)
-    latest = F.coalesce(global_scalar(timed, F.max("action_time")), F.lit(0).cast("long"))
-    cutoff = latest - F.lit(int(max_gap))
-    # With a cut-off at or below 0 every floored last time is recent enough.
-    return _not_recent(pages, timed, cutoff).where(cutoff > 0).select("id", "nickname")
+    seen, latest = _pages_with_last(pages, activity)
+    zero = F.lit(0).cast("long")
+    last = F.greatest(F.coalesce(F.col("_last"), zero), zero)
+    return seen.where(F.coalesce(latest, zero) - last > F.lit(int(max_gap))).select("id", "nickname")

@@ -2,7 +2,7 @@
 followed back.
 
 Only edges whose two ends both have a page and share a region code take part;
-repeated edges count once. ``not_followed_back`` reports one row per such
+repeated edges count once, and a page id names one record. ``not_followed_back`` reports one row per such
 one-way edge (follower id, follower nickname, followed id);
 ``not_followed_back_people`` reports each such follower once.
 
@@ -21,19 +21,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinship.functions import render_follow_report
-from kinship.operators import anti_join_reversed, canonical_pairs, degree_counts, one_way_edges
+from kinship.functions import render_follow_report, trim_controls
+from kinship.operators import (
+    anti_join_reversed,
+    canonical_pairs,
+    degree_counts,
+    keyed,
+    one_record_per_id,
+    one_way_edges,
+)
+
+
+def _trimmed(pages: DataFrame) -> DataFrame:
+    return pages.withColumn("nickname", trim_controls(F.col("nickname")))
 
 
 def _same_region(follows: DataFrame, pages: DataFrame) -> DataFrame:
     """(id1, id2) for every follow row whose ends share a region.
 
-    Only (id, region_code) of the pages takes part, so the two shuffles of
-    the edge rows carry two ids and one small integer, not nicknames.
+    Only (id, region_code) of the pages meets the edges, so the two shuffles
+    of the edge rows carry two ids and one small integer, not nicknames.
     """
-    follower = pages.select(F.col("id").alias("_f_id"), F.col("region_code").alias("_f_region"))
-    followed = pages.select(F.col("id").alias("_t_id"), F.col("region_code").alias("_t_region"))
-    edges = follows.where(F.col("id1").isNotNull() & F.col("id2").isNotNull()).select("id1", "id2")
+    regions = one_record_per_id(_trimmed(pages), "region_code")
+    follower = regions.select(F.col("id").alias("_f_id"), F.col("region_code").alias("_f_region"))
+    followed = regions.select(F.col("id").alias("_t_id"), F.col("region_code").alias("_t_region"))
+    edges = keyed(follows, "id1", "id2").select("id1", "id2")
     with_follower = edges.join(follower, F.col("id1") == F.col("_f_id"), "inner")
     both = with_follower.join(
         followed,
@@ -46,7 +58,7 @@ def _same_region(follows: DataFrame, pages: DataFrame) -> DataFrame:
 def _with_nickname(one_way: DataFrame, pages: DataFrame) -> DataFrame:
     # Labels are attached after the region filter and the reciprocity test,
     # so only the (much smaller) answer meets the page table here.
-    names = pages.select(F.col("id").alias("_n_id"), F.col("nickname"))
+    names = one_record_per_id(_trimmed(pages), "nickname").select(F.col("id").alias("_n_id"), "nickname")
     joined = one_way.join(names, F.col("src") == F.col("_n_id"), "inner")
     return joined.select(F.col("src").alias("id"), "nickname", F.col("dst").alias("followed_id"))
 

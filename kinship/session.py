@@ -10,6 +10,7 @@ accounts that receive a large share of all follows or visits.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -22,10 +23,14 @@ from pyspark.sql import SparkSession
 BROADCAST_LIMIT_BYTES = 10 * 1024 * 1024
 ADAPTIVE_BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 
+# Shuffle width of a local master.
+LOCAL_PARTITIONS = 8
 
-def session_conf(shuffle_partitions: int = 8) -> dict[str, str]:
-    return {
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+
+def session_conf(shuffle_partitions: int | None = None) -> dict[str, str]:
+    """Session settings; the shuffle width only where one is given."""
+    width = {} if shuffle_partitions is None else {"spark.sql.shuffle.partitions": str(shuffle_partitions)}
+    return width | {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -45,12 +50,12 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
     * input splits of ``target_partition_bytes`` (256 MiB by default), so a
       100 TB scan is ~400k tasks, a few waves on a 1000-executor cluster;
     * an initial shuffle width that gives each reducer about that much data
-      before partial aggregation (never fewer than two tasks per core, and
-      capped where shuffle bookkeeping stops paying off); AQE then coalesces
-      small partitions toward the advisory size and splits skewed ones.
+      before partial aggregation, never fewer than two tasks per core; AQE
+      then coalesces small partitions toward the advisory size and splits
+      skewed ones.
     """
     mib = 1024 * 1024
-    partitions = max(2 * total_cores, min(input_bytes // target_partition_bytes, 100_000))
+    partitions = max(2 * total_cores, input_bytes // target_partition_bytes)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(int(partitions)),
@@ -62,13 +67,17 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
 
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total size of files below ``paths``, on whatever file system they name."""
+    """Total size of files below ``paths`` (which may be patterns), on whatever file system they name."""
     jvm = spark.sparkContext._jvm
     hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()
     total = 0
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
-        total += path.getFileSystem(hadoop_conf).getContentSummary(path).getLength()
+        fs = path.getFileSystem(hadoop_conf)
+        found = fs.globStatus(path)
+        if not found:
+            raise FileNotFoundError(p)
+        total += sum(fs.getContentSummary(status.getPath()).getLength() for status in found)
     return int(total)
 
 
@@ -82,21 +91,24 @@ def apply_scale_conf(spark: SparkSession, paths: list[str]) -> dict[str, str]:
 
 def get_session(
     master: str | None = None,
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     app_name: str = "kinship",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Return a session with the engine's settings.
 
-    On a cluster pass ``master=None`` and let spark-submit decide. A
-    checkpoint folder is only invented when the cluster names none (tests,
-    local runs); see :func:`shared_dir`.
+    On a cluster pass ``master=None`` and let spark-submit decide, also on
+    the shuffle width: it is set only when given, or for a local master
+    (LOCAL_PARTITIONS). A checkpoint folder is only invented for a local
+    master; see :func:`shared_dir`.
     """
     builder = SparkSession.builder.appName(app_name)
+    if shuffle_partitions is None and master and master.startswith("local"):
+        shuffle_partitions = LOCAL_PARTITIONS
     conf = session_conf(shuffle_partitions)
     if master:
         builder = builder.master(master)
-        conf["spark.driver.memory"] = os.environ.get("KINSHIP_DRIVER_MEMORY", "16g")
+        conf["spark.driver.memory"] = os.environ.get("KINSHIP_DRIVER_MEMORY", "6g")
         if master.startswith("local"):
             # Split small inputs into about three tasks per core so one
             # straggling split does not idle the others. Large inputs are
@@ -106,7 +118,6 @@ def get_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -118,12 +129,19 @@ def _local_cores(master: str) -> int:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder, setting one only if unset."""
+    """The cluster's shared checkpoint folder.
+
+    Where none is named, a fresh folder is made for a local master, whose
+    executors are the driver; on a cluster that is an error, as executors do
+    not see the driver's folders.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached outside a cluster (tests, a laptop): a fresh folder.
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set, and {master} needs a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="kinship-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:

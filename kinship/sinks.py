@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinship.sources.text import CSV_OPTIONS
@@ -23,9 +23,12 @@ from kinship.sources.text import CSV_OPTIONS
 def key_value_lines(df: DataFrame, key: str | Sequence[str], values: Sequence[str] | None = None) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     values = [c for c in df.columns if c not in keys] if values is None else list(values)
-    key_text = F.concat_ws(",", *[F.col(k).cast("string") for k in keys])
-    value_text = F.concat_ws(",", *[F.col(v).cast("string") for v in values])
-    return df.select(F.concat_ws("\t", key_text, value_text).alias("value"))
+
+    # A missing field is written as an empty one, so every line has all fields.
+    def joined(names: Sequence[str]) -> Column:
+        return F.concat_ws(",", *[F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names])
+
+    return df.select(F.concat_ws("\t", joined(keys), joined(values)).alias("value"))
 
 
 def write_key_value_text(

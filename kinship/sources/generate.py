@@ -98,13 +98,16 @@ def gen_activity(
     partitions: int | None = None,
 ) -> DataFrame:
     row = F.col("id")
-    others = [a for a in ACTION_TYPES if a != FIRST_ACTION]
-    # Each other action type is kept with probability 1/2, "viewed" always leads.
-    kept = F.filter(
-        F.array(*[F.lit(a) for a in others]),
-        lambda x: F.pmod(F.xxhash64(row, F.lit(seed), x), F.lit(2)) == 0,
+    # A sample of 1 to all but one of the action types, in random order: the types
+    # by their hash in this row, cut to a random size. "viewed" always leads.
+    hashed = F.transform(
+        F.array(*[F.lit(a) for a in ACTION_TYPES]),
+        lambda x: F.struct(F.xxhash64(row, F.lit(seed), x).alias("order"), x.alias("action")),
     )
-    actions = F.array_join(F.concat(F.array(F.lit(FIRST_ACTION)), kept), ",")
+    size = _uniform(row, seed, "size", 1, len(ACTION_TYPES) - 1).cast("int")
+    drawn = F.slice(F.array_sort(hashed), F.lit(1), size)
+    others = F.filter(drawn["action"], lambda x: x != FIRST_ACTION)
+    actions = F.array_join(F.concat(F.array(F.lit(FIRST_ACTION)), others), ",")
     return spark.range(1, n_activity + 1, numPartitions=partitions).select(
         row.alias("action_id"),
         _uniform(row, seed, "by", 1, n_users).alias("by_who"),

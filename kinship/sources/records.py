@@ -74,6 +74,23 @@ def malformed_rows(lines: DataFrame) -> DataFrame:
     return parsed.groupBy("source", "parse").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+def narrow_lines(orders: DataFrame) -> DataFrame:
+    """Lines of two fields (order, customer), as a file of another kind in the folder has them."""
+    return orders.select(F.lit("orders").alias("source"), _csv_line(F.col("o_orderkey"), F.col("o_custkey")).alias("value"))
+
+
+def follower_records(lines: DataFrame) -> DataFrame:
+    """(id, follower, nickname) of the page and follow lines of a mixed folder, for
+    ``plans.followers.follower_count_of_records``: each line is read and split once."""
+    kinds = classify(lines, keep_tokens=True).select("kind", "_tokens")
+    is_page, is_follow = F.col("kind") == KIND_PAGE, F.col("kind") == KIND_FOLLOWS
+    return kinds.where(is_page | is_follow).select(
+        F.when(is_page, _token(0).try_cast("long")).otherwise(_token(2).try_cast("long")).alias("id"),
+        F.when(is_follow, _token(1).try_cast("long")).alias("follower"),
+        F.when(is_page, _token(1)).alias("nickname"),
+    )
+
+
 def _token(i: int) -> F.Column:
     return F.get(F.col("_tokens"), i)
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 # skips schema inference (a footer-reading job that, over a folder of many
 # thousands of files, costs real time) and prunes the scan to these columns.
 READ_SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_mktsegment STRING, c_nationkey INT",
     "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT",
     "orders": "o_orderkey BIGINT, o_custkey BIGINT",
     "lineitem": (
@@ -55,6 +56,16 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.col("c_name").alias("nickname"),
+        F.col("c_mktsegment").alias("job_title"),
+        F.col("c_nationkey").cast("int").alias("region_code"),
+        F.col("c_mktsegment").alias("fav_hobby"),
+    )
+
+
 def _order_lines(spark: SparkSession, sf_dir: str, *line_columns: str) -> DataFrame:
     # Both tables grow with the scale factor, so this is an ordinary
     # shuffled equi-join on the order key (broadcast only if Spark's own size
@@ -86,20 +97,38 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Views of the tables. ``parts`` is the one above. In ``reversed`` the part
+# follows the customer, so pages whose part key is no customer key have no
+# follower. In ``customers`` the pages are the customers, so followed and
+# visited parts beyond them have no page.
+VIEWS = ("parts", "reversed", "customers")
+
+
 class Inputs:
     """The three inputs of one data directory, built lazily on first use."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, view: str = "parts"):
+        if view not in VIEWS:
+            raise ValueError(f"unknown view {view!r}; expected one of {', '.join(VIEWS)}")
         self.spark = spark
         self.sf_dir = sf_dir
+        self.view = view
 
     @property
     def pages(self) -> DataFrame:
-        return pages(self.spark, self.sf_dir)
+        return (customer_pages if self.view == "customers" else pages)(self.spark, self.sf_dir)
 
     @property
     def follows(self) -> DataFrame:
-        return follows(self.spark, self.sf_dir)
+        edges = follows(self.spark, self.sf_dir)
+        if self.view == "reversed":
+            swapped = {"id1": F.col("id2"), "id2": F.col("id1")}
+            return edges.select(*(swapped.get(c, F.col(c)).alias(c) for c in edges.columns))
+        return edges
+
+    @property
+    def orders(self) -> DataFrame:
+        return table(self.spark, self.sf_dir, "orders")
 
     @property
     def activity(self) -> DataFrame:

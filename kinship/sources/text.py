@@ -8,7 +8,7 @@ folders can be read in one job.
 
 Malformed-row policy (one policy for all inputs): in PERMISSIVE mode a field
 that does not parse becomes NULL and the rest of the row is kept; a row
-without its key column is dropped by the plans. ``mode="FAILFAST"`` makes a
+without its key column is dropped by the plans (``kinship.operators.keys``). ``mode="FAILFAST"`` makes a
 scan fail on the first bad row instead.
 """
 
@@ -82,7 +82,9 @@ def read_csv(
     padded with spaces or control characters: they are read as text,
     stripped and then cast (a failed cast gives NULL); text fields are kept
     exactly as written."""
-    if trim_numbers and mode == "PERMISSIVE":
+    if trim_numbers:
+        if mode != "PERMISSIVE":
+            raise ValueError(f"trim_numbers reads fields as text first and works in PERMISSIVE mode only, not {mode}")
         as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
         raw = spark.read.options(**CSV_OPTIONS).option("mode", mode).schema(as_text).csv(_paths(paths))
         return raw.select(

@@ -65,3 +65,28 @@ def test_cli_main_writes_and_refuses_existing(micro_paths, tmp_path):
     # An existing output folder is refused unless --mode overwrite is given.
     assert subprocess.run(cmd, env=env, capture_output=True, timeout=600).returncode != 0
     assert subprocess.run(cmd + ["--mode", "overwrite"], env=env, capture_output=True, timeout=600).returncode == 0
+
+
+def test_cli_h_people_and_mixed_lines(spark, micro_paths, tmp_path):
+    out = str(tmp_path / "unused")
+    p, f = micro_paths["pages"], micro_paths["follows"]
+    assert _lines(spark, ["H", "--follows", f, "--pages", p, "--people", "--out", out]) == ["3\tCyd", "5\tAnn"]
+    both = _lines(spark, ["D", "--lines", f"{p},{f}", "--out", out])
+    assert both == _lines(spark, ["D", "--pages", p, "--follows", f, "--out", out])
+
+
+def test_cli_main_takes_path_patterns(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    for i, hobby in enumerate(("Chess", "Chess", "Baking")):
+        (tmp_path / f"p{i}.csv").write_text(f"{i},n,j,1,{hobby}\n")
+    (tmp_path / "q.csv").write_text("9,n,j,1,Surfing\n")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "PYTHONPATH": root, "KINSHIP_DRIVER_MEMORY": "2g"}
+    out = str(tmp_path / "out")
+    cmd = [sys.executable, "-m", "kinship", "A", "--pages", f"{tmp_path}/p*.csv", "--out", out, "--master", "local[2]"]
+    assert subprocess.run(cmd, env=env, capture_output=True, timeout=600).returncode == 0
+    written = [line for name in os.listdir(out) if name.startswith("part-") for line in open(os.path.join(out, name))]
+    assert sorted(written) == ["Baking\t1\n", "Chess\t2\n"]

@@ -9,6 +9,7 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
+from kinship.plans import catalog
 from tools.check_oracle import TABLES, digest
 
 
@@ -21,7 +22,18 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(entry.oracle_sql()) >= set(catalog.QUERIES)
+    assert set(entry.queries()) >= set(catalog.QUERIES)
+
+
+def test_without_the_optional_part(monkeypatch):
+    monkeypatch.setattr(entry, "HAS_LLM", False)
+    assert set(entry.queries()) == set(entry.oracle_sql()) == set(catalog.QUERIES)
+
+
+def test_sorted_hobbies_come_in_order(spark):
+    got = [r["hobby"] for r in entry.queries()["hobby_frequency_sorted"](spark, SF_SMALL).collect()]
+    assert got == sorted(got) and len(got) > 1
 
 
 @pytest.fixture(scope="module")
@@ -44,7 +56,7 @@ SQL_TYPES = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     s_rows = [tuple(r) for r in df.collect()]

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from conftest import SF_SMALL
 
+from kinship.plans import followers, recency, visits
 from kinship.plans.catalog import queries
+from kinship.sources import records, text
 from tools.plan_text import executed_plan
 
 
@@ -42,9 +44,46 @@ def test_reciprocity_plans(spark):
     assert "bit_or" in one_shuffle and "LeftAnti" not in one_shuffle
 
 
-def test_outdated_pages_uses_anti_join(spark):
-    plan = _plan(spark, "outdated_pages")
-    assert "LeftAnti" in plan
+def _text_scans(plan: str) -> int:
+    return plan.count("FileScan text") + plan.count("FileScan csv")
+
+
+def test_outdated_pages_reads_the_log_once(spark, micro, micro_paths):
+    """From CSV and from parquet: the latest time reuses the shuffle of the last times."""
+    df = recency.outdated_pages_int(micro.pages, micro.activity)
+    df.collect()
+    plan = executed_plan(df)
+    assert plan.count("activity.csv") == 1 and "ReusedExchange" in plan
+    for name in ("outdated_pages", "outdated_pages_int"):
+        df = queries()[name](spark, SF_SMALL)
+        df.collect()
+        assert executed_plan(df).count("FileScan parquet [l_orderkey") == 1, name
+
+
+def test_mixed_lines_are_read_once(spark, micro_paths):
+    lines = text.read_lines(spark, ",".join(micro_paths.values()))
+    df = followers.follower_count_of_records(records.follower_records(lines))
+    df.collect()
+    plan = executed_plan(df)
+    assert _text_scans(plan) == 1 and "Join" not in plan
+
+
+def test_lookup_broadcasts_by_size_only(spark, micro):
+    """A small k is broadcast by Spark's own check; with the checks off nothing is, however large k."""
+    few = visits.top_pages(micro.activity, micro.pages, k=10)
+    few.collect()
+    assert "BroadcastHashJoin" in executed_plan(few)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        many = visits.top_pages(micro.activity, micro.pages, k=50_000_000)
+        many.collect()
+        assert "Broadcast" not in executed_plan(many)
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
 
 
 def test_distinct_count_is_two_level_aggregate(spark):
@@ -66,22 +105,10 @@ def test_each_input_scanned_once_with_shuffled_joins(spark):
             df = build(spark, SF_SMALL)
             df.collect()
             plan = executed_plan(df)
-            # Text queries render follows and activity as two files; the recency
-            # queries read the log once for the latest time and once for the
-            # recent tail (filtered in the scan, before any shuffle).
-            twice = ("record_type_counts", "malformed_rows", "outdated_pages", "outdated_pages_int")
+            # Text queries render follows and activity as two files.
+            twice = ("record_type_counts", "malformed_rows", "malformed_rows_narrow")
             allowed = 2 if ("text" in name or name in twice) else 1
             assert plan.count("FileScan parquet [l_orderkey") <= allowed, name
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
-
-
-def test_recency_cutoff_filters_the_scan(spark):
-    """The recent-tail filter (a scalar subquery) is applied in the log scan,
-    before the adapter join shuffles anything."""
-    df = queries()["outdated_pages"](spark, SF_SMALL)
-    df.collect()
-    plan = executed_plan(df)
-    assert any("FileScan parquet [l_orderkey" in line and "l_shipdate" in line and ">= " in line
-               for line in plan.splitlines())

@@ -170,7 +170,7 @@ def nearest(
     indexed = written(all_rows.withColumn("_place", place).where(F.col("_place") <= k + 1).drop("_place"), "forest-index")
     n = indexed.count()
     sample = first_by_hash(indexed, "id", sample_rows).toPandas()
-    x = np.array(sample["vector"].to_list(), np.float64).reshape(len(sample), -1)
+    x = np.array(sample["vector"].to_list(), np.float64) if n else np.empty((0, 0))
     forest = spark.sparkContext.broadcast(
         [grow(x, leaf_sample, np.random.default_rng(seed)) for seed in range(trees)]
     )

@@ -101,7 +101,7 @@ def domain_posteriors(
     number = reduce(lambda c, d: c.when(F.col("domain") == d, place[d]), domains[1:], F.when(F.col("domain") == domains[0], 0))
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
     sample = rows.select(marks(tokens(F.col("text"))).alias("_kn_marks"), "domain", number.cast("double").alias("label"))
-    sample = written(sample.coalesce(6), "mixing-sample")
+    sample = written(sample.repartition(6), "mixing-sample")
     drawn = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     found = sorted(drawn, key=place.get)
 

@@ -142,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> C
     sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
     rows = sample.select("doc_id", "text", F.col("quality").cast("double").alias("label"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    sample = written(rows.mapInArrow(run, f"doc_id {kind}, f array<float>, label double").coalesce(6), "ngram-sample")
+    sample = written(rows.mapInArrow(run, f"doc_id {kind}, f array<float>, label double").repartition(6), "ngram-sample")
     later = F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(CALIBRATION)) == 0
     vector = array_to_vector(F.col("f").cast("array<double>")).alias("features")
     train = sample.where(~later).select(vector, "label")

@@ -5,12 +5,19 @@
    for it from here on.
 2. The signatures of the classes are cut into bands; classes that share a
    band's values share a bucket.
-3. In each bucket every member is compared with one pivot, so a bucket of m
+3. Shingles that only one class of all buckets holds can be in no
+   intersection. Of n shingles with u such ones, at most n - u can be shared,
+   which bounds the similarity of a pair from above; classes and pairs that
+   can't reach the threshold are left out. Near copies with different edits
+   are told apart by this before they are compared.
+4. In each bucket every member is compared with one pivot (that with the
+   smallest share of own shingles, the likeliest original), so a bucket of m
    members makes m - 1 pairs, and the verified links join most of it.
-4. Buckets in which members of different components are left are compared
-   member by member; members of one component are never compared again.
-   Large ones are first cut by a second band that both sides must share too.
-5. A pair is compared batch by batch of the signature. After each batch, with
+5. Buckets in which members of different components are left are compared
+   member by member; members of one component are never compared again. Large
+   ones are cut into blocks, and two blocks are compared in one task that
+   returns only the pairs that survive step 6.
+6. A pair is compared batch by batch of the signature. After each batch, with
    a uniform prior, the similarity has a beta posterior; the pair is dropped
    when the posterior chance that it reaches the threshold is below ``miss``.
    Survivors are verified on the full shingle sets, by integers.
@@ -34,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinship.llm.common import numbered, written
@@ -46,8 +53,9 @@ BANDS, ROWS = 24, 6
 # Signature values that are compared before each look at the posterior.
 BATCH = 24
 
-# Buckets left over with more members are cut by a second band.
+# Buckets left over with more members are compared by blocks of about BLOCK.
 LARGE_BUCKET = 64
+BLOCK = 256
 
 # Shingles hashed at a time, which bounds the memory of a very long text.
 CHUNK = 2048
@@ -140,23 +148,56 @@ def needed_matches(values: int, batch: int, threshold: float, miss: float) -> li
     return out
 
 
+def _surviving(looks: list[tuple[int, int]], left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which of the pairs (left[i], right[j]) of signatures no look excludes."""
+    alive, matches, done = np.arange(i.size), np.zeros(i.size, int), 0
+    for compared, least in looks:
+        same = left[i[alive], done:compared] == right[j[alive], done:compared]
+        matches = matches + same.sum(axis=1)
+        some = matches >= least
+        alive, matches, done = alive[some], matches[some], compared
+    return alive
+
+
+def _signatures(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(len(column), -1)
+
+
 def _bayes(looks: list[tuple[int, int]]):
     """Keeps the pairs that no look at their signatures excludes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            left, right = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(batch.num_rows, -1)
-                for c in ("signature_a", "signature_b")
-            )
-            alive, matches, done = np.arange(batch.num_rows), np.zeros(batch.num_rows, int), 0
-            for compared, least in looks:
-                matches = matches + (left[alive, done:compared] == right[alive, done:compared]).sum(axis=1)
-                some = matches >= least
-                alive, matches, done = alive[some], matches[some], compared
-            yield batch.select(["a", "b"]).take(pa.array(alive))
+            if batch.num_rows:
+                left, right = _signatures(batch.column("signature_a")), _signatures(batch.column("signature_b"))
+                each = np.arange(batch.num_rows)
+                yield batch.select(["a", "b"]).take(pa.array(_surviving(looks, left, right, each, each)))
+
+    return run
+
+
+def _blocks(looks: list[tuple[int, int]], share: tuple[int, int]):
+    """Compares two blocks of a bucket (or one with itself); pairs that no look excludes."""
+    of, whole = share
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        node, label, n, own, block = (
+            rows.column(c).to_numpy() for c in ("node", "label", "n_shingles", "own", "block")
+        )
+        i, j = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
+        common = n - own
+        low = np.minimum(common[i][:, None], common[j])
+        high = np.maximum(common[i][:, None], common[j]) + own[i][:, None] + own[j]
+        possible = (label[i][:, None] != label[j]) & (whole * low >= of * high)
+        if key[1].as_py() == key[2].as_py():
+            possible &= np.arange(i.size)[:, None] < np.arange(j.size)
+        left, right = np.nonzero(possible)
+        left, right = i[left], j[right]
+        signatures = _signatures(rows.column("signature"))
+        alive = _surviving(looks, signatures, signatures, left, right)
+        x, y = node[left[alive]], node[right[alive]]
+        return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
 
     return run
 
@@ -189,36 +230,33 @@ def _both(pairs: DataFrame, of: DataFrame, *names: str) -> DataFrame:
     return out
 
 
-class _Verifier:
-    """The two steps from candidate pairs of classes to links."""
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """(node, own): how many shingles of each class no other class has; classes without any are left out."""
 
-    def __init__(self, docs, classes, words, share, miss, values):
-        self.docs, self.classes, self.words, self.share = docs, classes, words, share
-        self.looks = needed_matches(values, BATCH, share[0] / share[1], miss)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                packed = part.column("shingles").to_pylist()
+                hashes = np.frombuffer(b"".join(packed), np.int64)
+                node = np.repeat(part.column("node").to_numpy(), [len(p) // 8 for p in packed])
+                yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(node)], names=["shingle", "node"])
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        of, whole = self.share
-        wide = _both(pairs, self.classes, "signature", "n_shingles")
-        small, big = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
-        survivors = written(
-            wide.where(whole * small >= of * big)
-            .select("a", "b", "signature_a", "signature_b")
-            .mapInArrow(_bayes(self.looks), "a long, b long"),
-            "minhash-survivors",
-        )
-        nodes = survivors.select(F.col("a").alias("node")).union(survivors.select("b")).distinct()
-        wanted = self.classes.select("node", "digest", "low").join(nodes, "node")
-        # The text of one member of each class, by its id; other rows of that id have another digest.
-        ids = wanted.select(F.col("low").alias("_id")).distinct()
-        texts = self.docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-        sets = shingle_sets(texts, self.words).dropDuplicates(["digest"])
-        sets = written(wanted.select("node", "digest").join(sets, "digest").select("node", "shingles"), "minhash-sets")
-        return written(
-            _both(survivors, sets, "shingles")
-            .select("a", "b", "shingles_a", "shingles_b")
-            .mapInArrow(_exact(self.share), "a long, b long"),
-            "minhash-links",
-        )
+    return (
+        sets.mapInArrow(run, "shingle long, node long")
+        .groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("classes"), F.min("node").alias("node"))
+        .where(F.col("classes") == 1)
+        .groupBy("node")
+        .agg(F.count(F.lit(1)).alias("own"))
+    )
+
+
+def _reachable(share: tuple[int, int], n_a: Column, own_a: Column, n_b: Column, own_b: Column) -> Column:
+    """Whether a pair can reach the threshold: what both may share, over that and the own shingles of both."""
+    of, whole = share
+    common_a, common_b = n_a - own_a, n_b - own_b
+    return whole * F.least(common_a, common_b) >= of * (F.greatest(common_a, common_b) + own_a + own_b)
 
 
 def _band_keys(classes: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -230,9 +268,20 @@ def _band_keys(classes: DataFrame, bands: int, rows: int) -> DataFrame:
     return classes.select("node", F.explode(keys).alias("key"))
 
 
-def _rest_pairs(members: DataFrame, labels: DataFrame, keys: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Pairs of classes in a bucket that are in different components."""
-    of, whole = share
+def _survivors(pairs: DataFrame, classes: DataFrame, looks: list[tuple[int, int]]) -> DataFrame:
+    wide = _both(pairs, classes, "signature")
+    return wide.select("a", "b", "signature_a", "signature_b").mapInArrow(_bayes(looks), "a long, b long")
+
+
+def _verified(survivors: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """(u, v) of the pairs whose full sets reach the threshold."""
+    wide = _both(survivors, sets, "shingles").select("a", "b", "shingles_a", "shingles_b")
+    links = wide.mapInArrow(_exact(share), "a long, b long")
+    return links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def _rest(members: DataFrame, labels: DataFrame, classes: DataFrame, looks: list, share: tuple[int, int]) -> DataFrame:
+    """Surviving pairs of members of a bucket that are in different components."""
     now = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = (
         now.groupBy("key")
@@ -241,23 +290,28 @@ def _rest_pairs(members: DataFrame, labels: DataFrame, keys: DataFrame, share: t
         .select("key", "size")
     )
     left = written(now.join(mixed, "key"), "minhash-rest")
-    small = left.where(F.col("size") <= LARGE_BUCKET).select("key", "node", "label", "n_shingles")
-    large = left.where(F.col("size") > LARGE_BUCKET).select(F.col("key").alias("first_key"), "node", "label", "n_shingles")
-    cut = (
-        large.join(keys, "node")
-        .where(F.col("key") != F.col("first_key"))
-        .select(F.xxhash64(F.least("key", "first_key"), F.greatest("key", "first_key")).alias("key"), "node", "label", "n_shingles")
-        .distinct()
-    )
-    both = small.unionByName(cut)
-    x, y = both.alias("x"), both.alias("y")
-    near = (
+    small = left.where(F.col("size") <= LARGE_BUCKET)
+    x, y = small.alias("x"), small.alias("y")
+    met = (
         (F.col("x.key") == F.col("y.key"))
         & (F.col("x.node") < F.col("y.node"))
         & (F.col("x.label") != F.col("y.label"))
-        & (whole * F.least("x.n_shingles", "y.n_shingles") >= of * F.greatest("x.n_shingles", "y.n_shingles"))
+        & _reachable(share, F.col("x.n_shingles"), F.col("x.own"), F.col("y.n_shingles"), F.col("y.own"))
+    )
+    pairs = x.join(y, met).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    # Every row of a large bucket goes to each pair of blocks that holds its own.
+    n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    large = (
+        left.where(F.col("size") > LARGE_BUCKET)
+        .join(classes.select("node", "signature"), "node")
+        .withColumn("block", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+        .withColumn("first", F.least("block", "other"))
+        .withColumn("second", F.greatest("block", "other"))
+        .select("key", "first", "second", "node", "label", "n_shingles", "own", "block", "signature")
     )
-    return x.join(y, near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    met_in_blocks = large.groupBy("key", "first", "second").applyInArrow(_blocks(looks, share), "a long, b long")
+    return _survivors(pairs, classes, looks).unionByName(met_in_blocks).distinct()
 
 
 def near_duplicates(
@@ -275,6 +329,7 @@ def near_duplicates(
     smallest doc_id that a document reaches, and the document of that id is
     kept.
     """
+    looks = needed_matches(bands * rows, BATCH, share[0] / share[1], miss)
     sketches = written(numbered(sketch(docs, words, bands * rows), "row"), "minhash-sketch")
     by_set = sketches.where(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.min("row").alias("node"), F.min("doc_id").alias("low")
@@ -283,16 +338,33 @@ def near_duplicates(
         by_set.join(sketches.select(F.col("row").alias("node"), "n_shingles", "signature"), "node"), "minhash-classes"
     )
     keys = _band_keys(classes, bands, rows)
-    buckets = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot"))
-    members = written(
-        keys.join(buckets.where(F.col("size") > 1), "key")
-        .join(classes.select("node", "n_shingles"), "node")
-        .select("key", "node", "pivot", "n_shingles"),
-        "minhash-members",
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1).select("key")
+    met = written(keys.join(shared, "key"), "minhash-buckets")
+
+    # The sets of all classes that meet another: from the text of one member of each, found by its id.
+    wanted = classes.join(met.select("node").distinct(), "node").select("node", "digest", "low")
+    ids = wanted.select(F.col("low").alias("_id")).distinct()
+    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    sets = wanted.select("node", "digest").join(shingle_sets(texts, words).dropDuplicates(["digest"]), "digest")
+    sets = written(sets.select("node", "shingles"), "minhash-sets")
+
+    own = F.coalesce("own", F.lit(0))
+    counted = classes.select("node", "n_shingles").join(_own_shingles(sets), "node", "left")
+    possible = written(
+        counted.withColumn("own", own).where(share[1] * (F.col("n_shingles") - F.col("own")) >= share[0] * F.col("n_shingles")),
+        "minhash-possible",
+    )
+    members = written(met.join(possible, "node"), "minhash-members")
+    likeliest = F.min(F.struct((F.col("own") / F.col("n_shingles")).alias("share"), "node", "n_shingles", "own"))
+    pivots = members.groupBy("key").agg(likeliest.alias("pivot"))
+    pivot = F.col("pivot")
+    stars = (
+        members.join(pivots, "key")
+        .where(F.col("node") != pivot["node"])
+        .where(_reachable(share, F.col("n_shingles"), F.col("own"), pivot["n_shingles"], pivot["own"]))
+        .select(pivot["node"].alias("a"), F.col("node").alias("b"))
+        .distinct()
     )
-    stars = members.where(F.col("node") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    stars = written(stars, "minhash-pairs")
-    verifier = _Verifier(docs, classes, words, share, miss, bands * rows)
     # Classes that share a repeated doc_id hold the same document.
     of_row = sketches.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull()).join(
         classes.select("digest", "node"), "digest"
@@ -300,15 +372,13 @@ def near_duplicates(
     per_id = of_row.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("last"))
     repeated = per_id.where(F.col("u") != F.col("last")).select("doc_id", "u")
     same_id = of_row.join(repeated, "doc_id").where(F.col("node") != F.col("u")).select("u", F.col("node").alias("v"))
-    links = verifier.links(stars).select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same_id)
-    links = written(links, "minhash-links")
-    first = written(components(links), "minhash-labels")
-    rest = _rest_pairs(members.drop("pivot"), first, keys, share)
-    rest = written(rest.join(stars, ["a", "b"], "left_anti"), "minhash-pairs")
-    more = verifier.links(rest).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    survivors = written(_survivors(stars, classes, looks), "minhash-survivors")
+    first = written(components(_verified(survivors, sets, share).unionByName(same_id)), "minhash-labels")
+
+    rest = written(_rest(members, first, classes, looks, share), "minhash-survivors")
     # Components of components: what the first round joined is one edge a node now.
     joined = first.where(F.col("node") != F.col("label")).select(F.col("label").alias("u"), F.col("node").alias("v"))
-    labels = written(components(joined.unionByName(more)), "minhash-labels")
+    labels = written(components(joined.unionByName(_verified(rest, sets, share))), "minhash-labels")
     lows = (
         classes.select("node", "low")
         .join(labels, "node")

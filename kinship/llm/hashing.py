@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 # Words whose hashes a worker keeps; with more, it starts anew.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 100_000
 
 
 class WordHash(dict):

@@ -15,15 +15,16 @@
    members makes m - 1 pairs, and the verified links join most of it.
 5. Buckets in which members of different components are left are compared
    member by member; members of one component are never compared again. Large
-   ones are cut into blocks, and two blocks are compared in one task that
-   returns only the pairs that survive step 6.
+   ones are cut into blocks, and two blocks are compared in one task, up to
+   the verification of step 6, so only links leave it.
 6. A pair is compared batch by batch of the signature. After each batch, with
    a uniform prior, the similarity has a beta posterior; the pair is dropped
    when the posterior chance that it reaches the threshold is below ``miss``.
    Survivors are verified on the full shingle sets, by integers.
 
 A link at the threshold itself is missed by the bands with a chance of
-(1 - t**rows)**bands, 1e-5 for 0.85 and 24 bands of 6.
+(1 - t**rows)**bands; bands and rows follow from the threshold so that this is
+about 1e-5 (24 bands of 6 for 0.85, 29 of 5 for 0.8).
 
 Defined results: null or empty texts, and texts without a word, have no
 shingles and are linked with nothing; texts of fewer words than a shingle have
@@ -48,7 +49,8 @@ from kinship.llm.common import numbered, written
 from kinship.llm.components import components
 from kinship.llm.hashing import WORDS, mixed
 
-BANDS, ROWS = 24, 6
+# Chance that no band catches a link at the threshold, and values of a signature at most.
+BAND_MISS, VALUES = 1.2e-5, 160
 
 # Signature values that are compared before each look at the posterior.
 BATCH = 24
@@ -131,6 +133,15 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "digest binary, shingles binary")
 
 
+def banding(threshold: float) -> tuple[int, int]:
+    """(bands, rows): the longest bands that miss a link at the threshold with a chance of BAND_MISS at most."""
+    for rows in range(VALUES, 0, -1):
+        bands = math.ceil(math.log(BAND_MISS) / math.log1p(-(threshold**rows))) if threshold < 1 else 1
+        if bands * rows <= VALUES:
+            return bands, rows
+    return VALUES, 1
+
+
 def needed_matches(values: int, batch: int, threshold: float, miss: float) -> list[tuple[int, int]]:
     """(compared, matches): with fewer matches the chance of reaching the threshold is below ``miss``.
 
@@ -176,8 +187,11 @@ def _bayes(looks: list[tuple[int, int]]):
     return run
 
 
-def _blocks(looks: list[tuple[int, int]], share: tuple[int, int]):
-    """Compares two blocks of a bucket (or one with itself); pairs that no look excludes."""
+def _blocks(looks: list[tuple[int, int]], share: tuple[int, int], band_rows: int):
+    """Compares two blocks of a bucket (or one with itself); returns the links.
+
+    A pair that shares several buckets is verified in that of its first band.
+    """
     of, whole = share
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
@@ -196,23 +210,33 @@ def _blocks(looks: list[tuple[int, int]], share: tuple[int, int]):
         left, right = i[left], j[right]
         signatures = _signatures(rows.column("signature"))
         alive = _surviving(looks, signatures, signatures, left, right)
-        x, y = node[left[alive]], node[right[alive]]
-        return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+        left, right = left[alive], right[alive]
+        if left.size:
+            same = (signatures[left] == signatures[right]).reshape(left.size, -1, band_rows).all(axis=2)
+            here = same.argmax(axis=1) == rows.column("band")[0].as_py()
+            left, right = left[here], right[here]
+        packed = rows.column("shingles").to_pylist()
+        keep = np.array([_linked(share, packed[x], packed[y]) for x, y in zip(left.tolist(), right.tolist())], bool)
+        x, y = node[left[keep]], node[right[keep]]
+        return pa.table({"u": np.minimum(x, y), "v": np.maximum(x, y)})
 
     return run
 
 
+def _linked(share: tuple[int, int], x: bytes, y: bytes) -> bool:
+    """Whether two packed sets reach the threshold, in integers."""
+    left, right = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    both = np.intersect1d(left, right, assume_unique=True).size
+    return share[1] * both >= share[0] * (left.size + right.size - both)
+
+
 def _exact(share: tuple[int, int]):
-    """Keeps the pairs whose full sets reach the threshold, in integers."""
-    of, whole = share
+    """Keeps the pairs whose full sets reach the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("shingles_a").to_pylist(), batch.column("shingles_b").to_pylist(), strict=True):
-                left, right = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.intersect1d(left, right, assume_unique=True).size
-                keep.append(whole * both >= of * (left.size + right.size - both))
+            sides = (batch.column(c).to_pylist() for c in ("shingles_a", "shingles_b"))
+            keep = [_linked(share, x, y) for x, y in zip(*sides, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -260,12 +284,12 @@ def _reachable(share: tuple[int, int], n_a: Column, own_a: Column, n_b: Column,
 
 
 def _band_keys(classes: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(key, node) of every band of every class."""
+    """(key, band, node) of every band of every class."""
     width = 4 * rows
     keys = F.array(
         *(F.xxhash64(F.lit(i), F.substring("signature", 1 + i * width, width)) for i in range(bands))
     )
-    return classes.select("node", F.explode(keys).alias("key"))
+    return classes.select("node", F.posexplode(keys).alias("band", "key"))
 
 
 def _survivors(pairs: DataFrame, classes: DataFrame, looks: list[tuple[int, int]]) -> DataFrame:
@@ -280,8 +304,10 @@ def _verified(survivors: DataFrame, sets: DataFrame, share: tuple[int, int]) ->
     return links.select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def _rest(members: DataFrame, labels: DataFrame, classes: DataFrame, looks: list, share: tuple[int, int]) -> DataFrame:
-    """Surviving pairs of members of a bucket that are in different components."""
+def _rest(
+    members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, looks: list, share: tuple[int, int], rows: int
+) -> DataFrame:
+    """Links (u, v) of members of a bucket that are in different components."""
     now = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = (
         now.groupBy("key")
@@ -304,22 +330,22 @@ def _rest(members: DataFrame, labels: DataFrame, classes: DataFrame, looks: list
     large = (
         left.where(F.col("size") > LARGE_BUCKET)
         .join(classes.select("node", "signature"), "node")
+        .join(sets, "node")
         .withColumn("block", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
         .withColumn("first", F.least("block", "other"))
         .withColumn("second", F.greatest("block", "other"))
-        .select("key", "first", "second", "node", "label", "n_shingles", "own", "block", "signature")
+        .select("key", "first", "second", "band", "node", "label", "n_shingles", "own", "block", "signature", "shingles")
     )
-    met_in_blocks = large.groupBy("key", "first", "second").applyInArrow(_blocks(looks, share), "a long, b long")
-    return _survivors(pairs, classes, looks).unionByName(met_in_blocks).distinct()
+    in_blocks = large.groupBy("key", "first", "second").applyInArrow(_blocks(looks, share, rows), "u long, v long")
+    survivors = written(_survivors(pairs, classes, looks), "minhash-survivors")
+    return _verified(survivors, sets, share).unionByName(in_blocks).distinct()
 
 
 def near_duplicates(
     docs: DataFrame,
     words: int = 5,
     share: tuple[int, int] = (80, 100),
-    bands: int = BANDS,
-    rows: int = ROWS,
     miss: float = 1e-6,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
@@ -329,6 +355,7 @@ def near_duplicates(
     smallest doc_id that a document reaches, and the document of that id is
     kept.
     """
+    bands, rows = banding(share[0] / share[1])
     looks = needed_matches(bands * rows, BATCH, share[0] / share[1], miss)
     sketches = written(numbered(sketch(docs, words, bands * rows), "row"), "minhash-sketch")
     by_set = sketches.where(F.col("digest").isNotNull()).groupBy("digest").agg(
@@ -375,10 +402,10 @@ def near_duplicates(
     survivors = written(_survivors(stars, classes, looks), "minhash-survivors")
     first = written(components(_verified(survivors, sets, share).unionByName(same_id)), "minhash-labels")
 
-    rest = written(_rest(members, first, classes, looks, share), "minhash-survivors")
+    rest = written(_rest(members, first, classes, sets, looks, share, rows), "minhash-links")
     # Components of components: what the first round joined is one edge a node now.
     joined = first.where(F.col("node") != F.col("label")).select(F.col("label").alias("u"), F.col("node").alias("v"))
-    labels = written(components(joined.unionByName(_verified(rest, sets, share))), "minhash-labels")
+    labels = written(components(joined.unionByName(rest)), "minhash-labels")
     lows = (
         classes.select("node", "low")
         .join(labels, "node")

@@ -13,10 +13,13 @@ phrase, so all blocks of a batch advance together, one letter a step; this
 adds at most one phrase a block, the same for every language. A letter that a
 language's sample lacks ends a phrase there.
 
-Bounds of the fit (parameters): ``sample_rows`` documents of at most
-``sample_chars`` characters a language, the smallest by a hash of their id;
-``sample_letters`` letters over all languages. The samples, not the automata,
-are broadcast; a worker builds the automata once.
+Bounds of the fit (parameters): ``sample_rows`` documents a language, the
+smallest by a hash of their id; a longer one than ``sample_chars`` characters
+lends a window of that size, at a place by the same hash (from its first
+letter on where that window has none); ``sample_letters`` letters over all
+languages, whole short texts first. So every language with a letter in its
+labelled texts is learned. The samples, not the automata, are broadcast; a
+worker builds the automata once.
 
 Defined results: a null text, a text without a letter, or no language learned:
 ``und`` with score 0; with one language learned, its score is 1. Rows without
@@ -187,10 +190,18 @@ def learn(
     sample_letters: int = SAMPLE_LETTERS,
 ) -> dict[str, list[str]]:
     """Sampled texts of each language of (doc_id, text, lang)."""
-    usable = labelled.where(
-        F.col("lang").isNotNull() & F.rlike("text", F.lit(r"\p{L}")) & (F.char_length("text") <= sample_chars)
+    letter = F.lit(r"\p{L}")
+    usable = labelled.where(F.col("lang").isNotNull() & F.rlike("text", letter))
+    # Cut before the sample is taken, so no whole long text moves.
+    length = F.char_length("text")
+    place = F.pmod(F.xxhash64("doc_id"), length - sample_chars + 1).cast("int")
+    window = F.substring(F.col("text"), place + 1, F.lit(sample_chars))
+    cut = (
+        F.when(length <= sample_chars, F.col("text"))
+        .when(F.rlike(window, letter), window)
+        .otherwise(F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{sample_chars - 1}}}", 0))
     )
-    rows = first_by_hash(usable.select("doc_id", "text", "lang"), "doc_id", sample_rows, ["lang"]).collect()
+    rows = first_by_hash(usable.select("doc_id", cut.alias("text"), "lang"), "doc_id", sample_rows, ["lang"]).collect()
     languages = sorted({r["lang"] for r in rows})
     found: dict[str, list[str]] = {lang: [] for lang in languages}
     share = sample_letters // max(1, len(languages))

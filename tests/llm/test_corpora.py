@@ -211,6 +211,23 @@ def test_languages_of_odd_rows(documents, no_documents):
     assert {r["lang_pred"] for r in language_id.held_out_languages(untaught).collect()} == {"und"}
 
 
+def test_languages_of_long_texts_only_are_learned(spark):
+    """A language whose labelled texts are all over the limit, and one with its only word far from the window's place."""
+    rng = random.Random(8)
+    words = {lang: ["".join(rng.choices(letters, k=rng.randint(2, 8))) for _ in range(60)] for lang, letters in (("s", "abcdef"), ("l", "uvwxyz"))}
+    rows = [(i, " ".join(rng.choices(words["s"], k=40)), "s") for i in range(30)]
+    rows += [(100 + i, " ".join(rng.choices(words["l"], k=4000)), "l") for i in range(5)]
+    rows += [(200, "1 " * 20_000 + "ŵŷ", "far")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = language_id.learn(docs)
+    assert sorted(samples) == ["far", "l", "s"] and samples["far"] == ["ŵŷ"]
+    assert all(len(t) <= language_id.SAMPLE_CHARS for texts in samples.values() for t in texts)
+    assert {t for t in samples["l"]} <= {r[1][k : k + language_id.SAMPLE_CHARS] for r in rows[30:35] for k in range(len(r[1]))}
+    two = docs.where("lang <> 'far'")
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(two, language_id.learn(two)).collect()}
+    assert got == {i: lang for i, _, lang in rows if lang != "far"}
+
+
 # Quality
 
 

@@ -8,14 +8,20 @@ along the direction between two sampled points, until a leaf holds
 their size depends on the parameters alone.
 
 Index: every row is sent down every tree and stored under (tree, leaf, block).
-A leaf is cut by a hash of the id into blocks of about ``block_rows`` rows,
-so no group grows with the input.
+A leaf is cut by a hash of the id into blocks of about ``block_rows`` rows.
 
 Search: each query holds one priority queue over the nodes of all trees. The
 node with the largest smallest margin is opened first; the first ``visits``
-leaves are visited. In each visited block the distances to all rows are
-computed in double precision and the ``k`` smallest kept; the smallest of
-these over all blocks are the result.
+leaves are visited. The queries are cut by another hash of the id into blocks
+of about ``query_block_rows``, so a group of (tree, leaf, block, query block)
+has no side that grows with the input. In each group the distances of all its
+queries to all its rows are computed in double precision and the ``k``
+smallest kept; the smallest of these over all groups are the result.
+
+Work: the number of leaves follows from the sample, so the share of the table
+that a query is compared with (and the recall) is the same at any size, and
+comparisons grow with queries times rows. Copies of the queries grow with
+rows / ``block_rows``, copies of the index with queries / ``query_block_rows``.
 
 Equal vectors: only the ``k + 1`` smallest ids of a vector can be among the
 ``k`` nearest of any query, so the others are set aside before the index is
@@ -39,7 +45,8 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -50,6 +57,10 @@ SAMPLE_ROWS = 4096
 LEAF_SAMPLE = 128
 VISITS = 48
 BLOCK_ROWS = 4096
+QUERY_BLOCK_ROWS = 4096
+
+# What an index row and a query share in order to meet.
+KEY = ("tree", "leaf", "block", "query_block")
 
 
 @dataclass
@@ -147,35 +158,37 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.empty((0, 0))
 
 
-def nearest(
-    rows: DataFrame,
-    queries_of,
-    k: int = 10,
-    id_col: str = "vec_id",
-    vector_col: str = "embedding",
-    trees: int = TREES,
-    sample_rows: int = SAMPLE_ROWS,
-    leaf_sample: int = LEAF_SAMPLE,
-    visits: int = VISITS,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found of each query.
+def rank(ids: np.ndarray, vectors: np.ndarray, queries: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """(query, id, distance) of the ``k`` rows nearest to each query of a group, other than itself."""
+    k = min(k, len(ids))
+    found, score = np.empty(len(queries) * k, np.int64), np.empty(len(queries) * k)
+    counts = np.zeros(len(queries), np.int64)
+    at = 0
+    for i, (query, q) in enumerate(zip(queries, points, strict=True)):
+        difference = vectors - q
+        distance = np.sqrt((difference * difference).sum(axis=1))
+        distance[ids == query] = np.inf
+        near = np.flatnonzero(distance <= np.partition(distance, k - 1)[k - 1])
+        near = near[np.isfinite(distance[near])]
+        near = near[np.lexsort((ids[near], distance[near]))][:k]
+        counts[i] = len(near)
+        found[at : at + len(near)], score[at : at + len(near)] = ids[near], distance[near]
+        at += len(near)
+    return np.repeat(queries, counts), found[:at], score[:at]
+
+
+def hashed_block(blocks: int, seed: int) -> Column:
+    return F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(blocks)).cast("int")
+
+
+def every_block(blocks: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
-    ``queries_of`` makes a condition of the id column: which rows are queries.
-    """
-    spark = rows.sparkSession
-    all_rows = written(usable(rows, id_col, vector_col), "forest-rows")
-    alike = Window.partitionBy("vector").orderBy("id")
-    place = F.row_number().over(alike)
-    indexed = written(all_rows.withColumn("_place", place).where(F.col("_place") <= k + 1).drop("_place"), "forest-index")
-    n = indexed.count()
-    sample = first_by_hash(indexed, "id", sample_rows).toPandas()
-    x = np.array(sample["vector"].to_list(), np.float64) if n else np.empty((0, 0))
-    forest = spark.sparkContext.broadcast(
-        [grow(x, leaf_sample, np.random.default_rng(seed)) for seed in range(trees)]
-    )
-    leaf_count = max(1, min(len(sample), n) // leaf_sample)
-    blocks = max(1, round(n / leaf_count / block_rows))
+
+def groups(
+    indexed: DataFrame, queries: DataFrame, forest: Broadcast, visits: int, blocks: int, query_blocks: int
+) -> tuple[DataFrame, DataFrame]:
+    """(index rows, query rows), each (tree, leaf, id, vector, block, query_block): those of equal KEY meet."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,38 +218,57 @@ def nearest(
                 names=["tree", "leaf", *taken.schema.names],
             )
 
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    index_rows = indexed.withColumn("block", block).mapInArrow(
-        index, "tree int, leaf int, id long, vector array<double>, block int"
-    )
-    every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    query_rows = (
-        all_rows.where(queries_of(F.col("id")))
-        .mapInArrow(search, "tree int, leaf int, id long, vector array<double>")
-        .withColumn("block", every_block)
+    placed = "tree int, leaf int, id long, vector array<double>"
+    index_rows = indexed.withColumn("block", hashed_block(blocks, 0)).mapInArrow(index, f"{placed}, block int")
+    query_rows = queries.withColumn("query_block", hashed_block(query_blocks, 1)).mapInArrow(search, f"{placed}, query_block int")
+    return index_rows.withColumn("query_block", every_block(query_blocks)), query_rows.withColumn("block", every_block(blocks))
+
+
+def nearest(
+    rows: DataFrame,
+    queries_of,
+    k: int = 10,
+    id_col: str = "vec_id",
+    vector_col: str = "embedding",
+    trees: int = TREES,
+    sample_rows: int = SAMPLE_ROWS,
+    leaf_sample: int = LEAF_SAMPLE,
+    visits: int = VISITS,
+    block_rows: int = BLOCK_ROWS,
+    query_block_rows: int = QUERY_BLOCK_ROWS,
+) -> DataFrame:
+    """(query_id, rank, vec_id, score): the ``k`` nearest found of each query.
+
+    ``queries_of`` makes a condition of the id column: which rows are queries.
+    """
+    spark = rows.sparkSession
+    all_rows = written(usable(rows, id_col, vector_col), "forest-rows")
+    alike = Window.partitionBy("vector").orderBy("id")
+    place = F.row_number().over(alike)
+    indexed = written(all_rows.withColumn("_place", place).where(F.col("_place") <= k + 1).drop("_place"), "forest-index")
+    n = indexed.count()
+    sample = first_by_hash(indexed, "id", sample_rows).toPandas()
+    x = np.array(sample["vector"].to_list(), np.float64) if n else np.empty((0, 0))
+    forest = spark.sparkContext.broadcast(
+        [grow(x, leaf_sample, np.random.default_rng(seed)) for seed in range(trees)]
     )
+    leaf_count = max(1, min(len(sample), n) // leaf_sample)
+    blocks = max(1, round(n / leaf_count / block_rows))
+    queries = all_rows.where(queries_of(F.col("id")))
+    query_blocks = max(1, -(-queries.count() // query_block_rows))
+    index_rows, query_rows = groups(indexed, queries, forest, visits, blocks, query_blocks)
 
-    def rank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        ids = left["id"].to_numpy()
-        vectors = np.stack(left["vector"].to_numpy())
-        parts = []
-        for query, q in zip(right["id"].to_numpy(), right["vector"].to_numpy(), strict=True):
-            difference = vectors - q
-            distance = np.sqrt((difference * difference).sum(axis=1))
-            distance[ids == query] = np.inf
-            near = np.flatnonzero(distance <= np.partition(distance, min(k, len(ids)) - 1)[min(k, len(ids)) - 1])
-            near = near[np.isfinite(distance[near])]
-            near = near[np.lexsort((ids[near], distance[near]))][:k]
-            parts.append(pd.DataFrame({"query_id": query, "vec_id": ids[near], "score": distance[near]}))
-        return pd.concat(parts)
-
-    key = ("tree", "leaf", "block")
+        vectors, points = np.stack(left["vector"].to_numpy()), np.stack(right["vector"].to_numpy())
+        query, found, score = rank(left["id"].to_numpy(), vectors, right["id"].to_numpy(), points, k)
+        return pd.DataFrame({"query_id": query, "vec_id": found, "score": score})
+
     found = (
-        index_rows.groupBy(*key)
-        .cogroup(query_rows.groupBy(*key))
-        .applyInPandas(rank, "query_id long, vec_id long, score double")
+        index_rows.groupBy(*KEY)
+        .cogroup(query_rows.groupBy(*KEY))
+        .applyInPandas(meet, "query_id long, vec_id long, score double")
     )
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (

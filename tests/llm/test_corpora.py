@@ -154,6 +154,20 @@ def test_neighbours_of_few_rows(spark):
     assert forest.nearest(rows.limit(1), lambda i: i % 100 == 0).count() == 0
 
 
+def test_neighbours_by_query_blocks_are_bounded_and_equal(spark):
+    """All queries visit all leaves; no group holds more than about a block of either side."""
+    _, rows = vectors(spark, 600, 4, 5)
+    options = dict(k=5, sample_rows=200, leaf_sample=30, visits=10_000)
+    whole = forest.nearest(rows, lambda i: i >= 0, **options).collect()
+    cut = forest.nearest(rows, lambda i: i >= 0, **options, block_rows=20, query_block_rows=25).collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, cut)) and len(cut) == 600 * 5
+    x = np.array([r["embedding"] for r in rows.limit(200).collect()])
+    trees = spark.sparkContext.broadcast([forest.grow(x, 30, np.random.default_rng(0))])
+    table = rows.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    for side in forest.groups(table, table, trees, 10_000, 4, 24):
+        assert max(r["count"] for r in side.groupBy(*forest.KEY).count().collect()) <= 60
+
+
 # Languages
 
 

@@ -113,12 +113,14 @@ def _family_rules() -> list[Rule]:
     for stem, keyword, names, versions in FAMILIES:
         for name in names:
             full = not (stem == "apache" and name == "apache")
+            # The version of an abbreviation may be written in one word with it: GPLv2, GPL2.
+            between = r"(?:(?: version| v)? v?|v?)" if keyword.startswith(" ") else r"(?: version| v)? (?:v)?"
             if full:
                 rules.append(Rule(stem, NAMED, SCORES[NAMED], keyword, rf"(?:the )?{name}"))
             # Longer versions first, so that 2.1 is not read as 2.
             for version in sorted(versions, key=len, reverse=True):
                 for tail, suffix in (("", ""), ("-or-later", r" or(?: at your option)?(?: any)? later(?: version)?")):
-                    pattern = rf"(?:the )?{name}(?: version| v)? (?:v)?{_version(version)}{suffix}"
+                    pattern = rf"(?:the )?{name}{between}{_version(version)}{suffix}"
                     # A version that ends here: no further number belongs to it.
                     end = "" if suffix else r"(?! [0-9])"
                     rules.append(Rule(f"{stem}-{version}{tail}", VERSIONED, SCORES[VERSIONED], keyword, pattern + end))

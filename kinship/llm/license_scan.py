@@ -7,7 +7,9 @@
    match is an interval of words.
 3. Detections inside an earlier-starting or equal interval are suppressed (of
    equal intervals the rule of best priority stays); of two that overlap
-   without containment, the one of worse priority goes.
+   without containment, the one of worse priority goes. A hint ("licensed
+   under the X") suppresses only hints, and goes where it touches anything
+   else, inside it or not: the licence that it introduces stays.
 
 Base phrases are counted before suppression, at every place, and their labels
 always stay.
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kinship.llm.common import numbered, written
-from kinship.llm.license_rules import Rule, rules
+from kinship.llm.license_rules import HINT, Rule, rules
 
 # ASCII characters that are neither digits nor letters of lower-case text.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -107,16 +109,23 @@ def detections(texts: DataFrame, chosen: tuple[Rule, ...]) -> DataFrame:
 
 def resolved(found: DataFrame) -> DataFrame:
     """The detections that are left after suppression."""
-    order = Window.partitionBy("row").orderBy("start", F.desc("stop"), "priority", "rule")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    outer = found.withColumn("reached", F.max("stop").over(before)).where(
-        F.col("reached").isNull() | (F.col("reached") < F.col("stop"))
-    )
-    # Starts and stops both ascend now, so only neighbours overlap directly.
-    beaten = ((F.lag("stop").over(order) > F.col("start")) & (F.lag("priority").over(order) < F.col("priority"))) | (
+    hint = F.col("priority") >= HINT
+    forth = ("start", F.desc("stop"), "priority", "rule")
+    back = (F.desc("start"), "stop", F.desc("priority"), F.desc("rule"))
+    before = Window.partitionBy("row").orderBy(*forth).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("row").orderBy(*back).rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.when(hint, F.max("stop").over(before)).otherwise(F.max(F.when(~hint, F.col("stop"))).over(before))
+    outer = found.withColumn("reached", reached).where(F.col("reached").isNull() | (F.col("reached") < F.col("stop")))
+    # Starts and stops of all but the hints both ascend now, so of them only neighbours overlap directly.
+    order = Window.partitionBy("row", hint).orderBy(*forth)
+    neighbour = ((F.lag("stop").over(order) > F.col("start")) & (F.lag("priority").over(order) < F.col("priority"))) | (
         (F.lead("start").over(order) < F.col("stop")) & (F.lead("priority").over(order) < F.col("priority"))
     )
-    return outer.withColumn("beaten", F.coalesce(beaten, F.lit(False))).where(~F.col("beaten")).drop("reached", "beaten")
+    touched = (F.max(F.when(~hint, F.col("stop"))).over(before) > F.col("start")) | (
+        F.min(F.when(~hint, F.col("start"))).over(after) < F.col("stop")
+    )
+    beaten = F.coalesce(neighbour, F.lit(False)) | (hint & F.coalesce(touched, F.lit(False)))
+    return outer.withColumn("beaten", beaten).where(~F.col("beaten")).drop("reached", "beaten")
 
 
 def scan(docs: DataFrame, chosen: tuple[Rule, ...] | None = None) -> DataFrame:

@@ -199,6 +199,26 @@ def test_license_labels(spark, text, labels):
     assert license_scan.digest(license_scan.scan(docs)).first()["labels"] == labels
 
 
+def test_license_after_a_hint_or_in_one_word_with_its_version(spark):
+    cases = [
+        ("Licensed under GPL", "gpl", 0.8),
+        ("licensed under the MPL.", "mpl", 0.8),
+        ("licensed under CC0", "cc0", 0.95),
+        ("Licensed under the WTFPL, see there", "wtfpl", 0.8),
+        ("licensed under GPLv2", "gpl-2.0", 0.95),
+        ("GPLv3", "gpl-3.0", 0.95),
+        ("under the LGPLv2.1 or later", "lgpl-2.1-or-later", 0.95),
+        ("LGPLv3", "lgpl-3.0", 0.95),
+        ("Licensed under the AGPLv3.0", "agpl-3.0", 0.95),
+        ("MPLv2.0", "mpl-2.0", 0.95),
+        ("MPL2", "mpl-2.0", 0.95),
+        ("licensed under terms of our own", "licensed", 0.4),
+    ]
+    docs = spark.createDataFrame([(i, text) for i, (text, *_) in enumerate(cases)], "doc_id long, text string")
+    got = by_id(license_scan.digest(license_scan.scan(docs)))
+    assert [(text, got[i]["labels"], got[i]["score"]) for i, (text, *_) in enumerate(cases)] == cases
+
+
 def test_license_rules_are_hundreds_and_gated():
     chosen = license_rules.rules()
     assert len(chosen) > 300

@@ -41,14 +41,20 @@ FURTHER = (
     ("stripe", "k_live_", re.compile(r"\b[sr]k_live_[A-Za-z0-9]{16,}")),
     ("jwt", "eyJ", re.compile(r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
     ("pem", "PRIVATE KEY", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]|-(?!----END))*-----END [A-Z ]*PRIVATE KEY-----")),
-    ("url", "://", re.compile(r"\b[A-Za-z][A-Za-z0-9+.-]{0,30}://[^\s:/@]{1,200}:([^\s:/@]{3,200})@")),
     ("bearer", "earer ", re.compile(r"\b[Bb]earer ([A-Za-z0-9._~+/-]{20,}=*)")),
 )
+# A credential in a URL, of any length: around each "://" the scheme before it
+# and the user and password after it. None of them can hold a "://", so no
+# character is read more than a few times.
+LOGIN = re.compile(r"://[^\s:/@]+:([^\s:/@]{3,})@")
+NO_SCHEME = re.compile(r"[^A-Za-z0-9+.-]")
+SCHEME = re.compile(r"\b[A-Za-z]")
+
 BASE = ("assign", "access", "hex")
-KINDS = BASE + tuple(name for name, _, _ in FURTHER)
+KINDS = (*BASE, *(name for name, _, _ in FURTHER[:-1]), "url", FURTHER[-1][0])
 ORDER = {kind: i for i, kind in enumerate(KINDS)}
 
-SPAN = "struct<kind:string,start:int,end:int,value_start:int,hash:string,entropy:double>"
+SPAN = "struct<kind:string,start:int,end:int,value_start:int,value_end:int,hash:string,entropy:double>"
 
 
 def entropy(value: str) -> float:
@@ -57,17 +63,30 @@ def entropy(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) if n else 0.0
 
 
-def spans(text: str) -> list[tuple[str, int, int, int]]:
-    """(kind, start, end, start of the value) in code points, by start, then kind."""
+def logins(text: str) -> Iterator[tuple[str, int, int, int, int]]:
+    """The spans of kind url; the value leaves out the "@" that ends the span."""
+    done = 0
+    for m in LOGIN.finditer(text):
+        at = m.start()
+        while at > done and not NO_SCHEME.match(text, at - 1):
+            at -= 1
+        if scheme := SCHEME.search(text, at, m.start()):
+            yield "url", scheme.start(), m.end(), m.start(1), m.end(1)
+        done = m.end()
+
+
+def spans(text: str) -> list[tuple[str, int, int, int, int]]:
+    """(kind, start, end, start and end of the value) in code points, by start, then kind."""
     out = []
     if "=" in text or ":" in text:
-        out += [("assign", m.start(), m.end(), m.start(2)) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+        out += [("assign", m.start(), m.end(), m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
     if "AKIA" in text:
-        out += [("access", m.start(), m.end(), m.start()) for m in ACCESS.finditer(text) if len(m[0]) >= 18]
-    out += [("hex", m.start(), m.end(), m.start()) for m in HEX.finditer(text)]
+        out += [("access", m.start(), m.end(), m.start(), m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= 18]
+    out += [("hex", m.start(), m.end(), m.start(), m.end()) for m in HEX.finditer(text)]
     for kind, literal, pattern in FURTHER:
         if literal in text:
-            out += [(kind, m.start(), m.end(), m.start(1) if pattern.groups else m.start()) for m in pattern.finditer(text)]
+            out += [(kind, *m.span(), *m.span(pattern.groups)) for m in pattern.finditer(text)]
+    out += logins(text)
     return sorted(out, key=lambda s: (s[1], ORDER[s[0]]))
 
 
@@ -82,11 +101,12 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         "start": start,
                         "end": end,
                         "value_start": at,
+                        "value_end": to,
                         "hash": hashlib.sha256(value.encode("utf-8", "surrogatepass")).hexdigest(),
                         "entropy": entropy(value),
                     }
-                    for kind, start, end, at in spans(text)
-                    for value in (text[at:end] if kind != "url" else text[at : end - 1],)
+                    for kind, start, end, at, to in spans(text)
+                    for value in (text[at:to],)
                 ]
             )
         kept = batch.drop_columns(["_text"])
@@ -99,6 +119,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         ("start", pa.int32()),
                         ("end", pa.int32()),
                         ("value_start", pa.int32()),
+                        ("value_end", pa.int32()),
                         ("hash", pa.string()),
                         ("entropy", pa.float64()),
                     ]
@@ -156,7 +177,7 @@ def scan(
 ) -> DataFrame:
     """One row per document row: doc_id and ``spans``, each with its verdict.
 
-    ``spans`` is array<struct<kind, start, end, value_start, hash, entropy,
+    ``spans`` is array<struct<kind, start, end, value_start, value_end, hash, entropy,
     n_repositories, n_owners, verdict>>, by start and kind. The verdict is
     ``copied`` where at least ``copied_owners`` owners hold the value, else
     ``live`` where its entropy is at least ``live_entropy`` bits a character,
@@ -185,6 +206,7 @@ def scan(
                         one["start"].alias("start"),
                         one["end"].alias("end"),
                         one["value_start"].alias("value_start"),
+                        one["value_end"].alias("value_end"),
                         "hash",
                         one["entropy"].alias("entropy"),
                         "n_repositories",
@@ -197,7 +219,7 @@ def scan(
     )
     bare = F.transform("judged", lambda s: s.dropFields("place"))
     none = F.array().cast(
-        "array<struct<kind:string,start:int,end:int,value_start:int,hash:string,entropy:double,"
+        "array<struct<kind:string,start:int,end:int,value_start:int,value_end:int,hash:string,entropy:double,"
         "n_repositories:bigint,n_owners:bigint,verdict:string>>"
     )
     return found.join(judged, "row", "left").select("doc_id", F.coalesce(bare, none).alias("spans"))
@@ -272,7 +294,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:
         .select(
             F.col("doc_id.id").alias("_kn_id"),
             F.col("doc_id.h").alias("_kn_h"),
-            F.transform(live, lambda s: F.struct(s["value_start"].alias("start"), s["end"].alias("end"))).alias("_kn_cuts"),
+            F.transform(live, lambda s: F.struct(s["value_start"].alias("start"), s["value_end"].alias("end"))).alias("_kn_cuts"),
         )
         .where(F.size("_kn_cuts") > 0)
         .groupBy("_kn_id", "_kn_h")

@@ -103,6 +103,19 @@ def test_secrets_by_ownership(spark):
     assert texts[9] == "token=[SECRET]" and texts[11] == "token=[SECRET] x" and copied in texts[0]
 
 
+def test_secrets_in_urls_of_any_length(spark):
+    rng = random.Random(6)
+    password, user, scheme = ("".join(rng.choices("abcdefghijklmnopqrstuvwxyzQRSTUV", k=k)) for k in (5000, 300, 40))
+    texts = [f"see https://bot:{password}@h/x", f"see https://{user}:{password[:20]}@h", f"{scheme}://u:{password[20:40]}@h", "x" * 100_000 + "://" * 50_000]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    cut = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
+    assert cut == {0: "see https://bot:[SECRET]@h/x", 1: f"see https://{user}:[SECRET]@h", 2: f"{scheme}://u:[SECRET]@h", 3: texts[3]}
+    capped = re.compile(r"\b[A-Za-z][A-Za-z0-9+.-]{0,30}://[^\s:/@]{1,200}:([^\s:/@]{3,200})@")
+    for _ in range(3000):
+        text = "".join(rng.choices(["a", "1", "+", "_", "é", "://", ":", "@", " ", "/", "bcd"], k=14))
+        assert list(secret_scan.logins(text)) == [("url", *m.span(), *m.span(1)) for m in capped.finditer(text)]
+
+
 def test_secrets_of_odd_rows(documents, no_documents):
     assert secret_scan.digest(secret_scan.scan(documents)).count() == documents.count()
     redacted = secret_scan.redact(documents)

@@ -11,8 +11,6 @@ sys.path.insert(0, ROOT)
 from kinship.session import get_session  # noqa: E402
 from kinship.sources import text  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 # Micro fixture with hand-worked answers (integer time mode). Pages cover a
 # repeated nickname, pages nobody follows and a never-active member; follows
 # cover a duplicate edge, a self-follow, ids without a page and one-way
@@ -85,7 +83,3 @@ class Micro:
 @pytest.fixture(scope="session")
 def micro(spark, micro_paths):
     return Micro(spark, micro_paths)
-
-
-def rows(df) -> list[tuple]:
-    return sorted(tuple(r) for r in df.collect())

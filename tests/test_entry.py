@@ -6,7 +6,7 @@ import os
 
 import duckdb
 import pytest
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 import __spark_entry__ as entry
 from kinship.plans import catalog
@@ -27,7 +27,7 @@ def test_every_query_has_an_oracle():
 
 
 def test_without_the_optional_part(monkeypatch):
-    monkeypatch.setattr(entry, "HAS_LLM", False)
+    monkeypatch.setattr(entry, "llm_queries", None)
     assert set(entry.queries()) == set(entry.oracle_sql()) == set(catalog.QUERIES)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 from pyspark.sql import functions as F
 
 from kinship.plans import access, followers, reciprocity, recency

@@ -6,7 +6,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from kinship.operators import one_record_per_id

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import rows
+from support import rows
 
 from kinship import sinks
 from kinship.operators import (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 from kinship.plans import followers, recency, visits
 from kinship.plans.catalog import queries

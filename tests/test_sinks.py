@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 import pytest
-from conftest import rows
+from support import rows
 
 from kinship import sinks
 from kinship.plans import hobbies

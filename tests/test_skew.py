@@ -7,7 +7,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from kinship.plans import access, followers, reciprocity, recency

@@ -18,14 +18,25 @@ from kinship.llm import (
     ngram_quality,
     pairwise_quality,
     secret_scan,
+    token_counts,
     word_bpe,
 )
 from kinship.llm.common import table
 
-# The folder of the public tokenizer files; a parameter of the environment.
-TOKENIZERS = os.environ.get("KINSHIP_TOKENIZERS", "/opt/tokenizers")
 
-WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
+
+def tokenizer_file(name: str) -> str:
+    """A public tokenizer file: in the folder that KINSHIP_TOKENIZERS names, else where the installed package has it."""
+    folder = os.environ.get("KINSHIP_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
 
 
 # Target weights of the label domains in the mixture.
@@ -61,7 +72,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_bpe.digest(word_bpe.encode_decode(table(spark, sf_dir, "documents"), WORD_BPE))
+    return word_bpe.digest(word_bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_file(WORD_BPE)))
 
 
 def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +93,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.limits(token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file(BYTE_BPE)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_minhash": op2_minhash,
@@ -93,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rules": op8_rules,
     "op9_chat": op9_chat,
     "op10_secrets": op10_secrets,
+    "op13_tokens": op13_tokens,
 }
 
 ORACLE_SQL = {

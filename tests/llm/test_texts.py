@@ -128,12 +128,12 @@ def test_secrets_of_odd_rows(documents, no_documents):
 
 def test_bpe_equals_the_public_library(spark, small, documents):
     tokenizers = pytest.importorskip("tokenizers")
-    library = tokenizers.Tokenizer.from_file(queries.WORD_BPE)
+    library = tokenizers.Tokenizer.from_file(queries.tokenizer_file(queries.WORD_BPE))
     odd = ["x" * 5000, "thon" * 3000, "don't we'll '", "a\x85b c d\x1cz", "İstanbul ﬁ é Å", "<|startoftext|><|endoftext|>a<|end", "\U0001f600 日本語 한국어", "ΑΣ ΣΑΣ."]
     docs = small("documents").select("doc_id", "text").unionByName(documents.select("doc_id", "text")).unionByName(
         spark.createDataFrame([(20_000 + i, t) for i, t in enumerate(odd)], "doc_id long, text string")
     )
-    got = Counter((r["doc_id"], r["ids"], r["decoded"]) for r in word_bpe.encode_decode(docs, queries.WORD_BPE).collect())
+    got = Counter((r["doc_id"], r["ids"], r["decoded"]) for r in word_bpe.encode_decode(docs, queries.tokenizer_file(queries.WORD_BPE)).collect())
     want = Counter()
     for r in docs.collect():
         ids = library.encode(r["text"] or "", add_special_tokens=False).ids
@@ -142,14 +142,14 @@ def test_bpe_equals_the_public_library(spark, small, documents):
 
 
 def test_bpe_digest_of_nothing(spark, no_documents):
-    assert word_bpe.digest(word_bpe.encode_decode(no_documents, queries.WORD_BPE)).count() == 0
+    assert word_bpe.digest(word_bpe.encode_decode(no_documents, queries.tokenizer_file(queries.WORD_BPE))).count() == 0
     one = spark.createDataFrame([(1, None)], "doc_id long, text string")
-    row = word_bpe.digest(word_bpe.encode_decode(one, queries.WORD_BPE)).first()
+    row = word_bpe.digest(word_bpe.encode_decode(one, queries.tokenizer_file(queries.WORD_BPE))).first()
     assert (row["n_tokens"], row["ids_sha256"]) == (0, hashlib.sha256(b"").hexdigest()) and row["decoded_sha256"] == row["ids_sha256"]
 
 
 def test_segment_tree_merges_the_leftmost_lowest_pair_first():
-    with open(queries.WORD_BPE, encoding="utf-8") as file:
+    with open(queries.tokenizer_file(queries.WORD_BPE), encoding="utf-8") as file:
         coder = word_bpe.WordBpe(file.read())
 
     def plainly(ids):

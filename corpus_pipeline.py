@@ -49,7 +49,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and digests of them and of the decoded text."""
-    coded = word_bpe.encode_decode(docs, queries.WORD_BPE)
+    coded = word_bpe.encode_decode(docs, queries.tokenizer_file(queries.WORD_BPE))
     return word_bpe.digest(coded)
 
 

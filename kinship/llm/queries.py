@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinship.llm import (
+    block_search,
     chat,
     forest,
     language_id,
@@ -93,6 +94,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.limits(token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_file(BYTE_BPE)))
 
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rules": op8_rules,
     "op9_chat": op9_chat,
     "op10_secrets": op10_secrets,
+    "op12_search": op12_search,
     "op13_tokens": op13_tokens,
 }
 
@@ -145,6 +151,38 @@ ORACLE_SQL = {
         SELECT sets.doc_id, len(shingles)::BIGINT AS n_shingles, component_id, sets.doc_id = component_id AS kept
         FROM sets JOIN low ON sets.doc_id = low.doc_id
     """,
+    "op12_search": """
+        WITH said AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+            FROM documents
+        ),
+        counted AS (SELECT doc_id, term, count(*) AS tf FROM said GROUP BY 1, 2),
+        doc AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM counted GROUP BY 1),
+        corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM doc),
+        weight AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM counted, corpus GROUP BY term, docs
+        ),
+        asked AS (
+            SELECT item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+            FROM benchmark
+        ),
+        scored AS (
+            SELECT item_id, doc_id,
+                sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))))::BIGINT AS score
+            FROM asked JOIN counted USING (term) JOIN weight USING (term) JOIN doc USING (doc_id), corpus
+            GROUP BY 1, 2
+        ),
+        ranked AS (
+            SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
     "op9_chat": """
         WITH said AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

@@ -18,6 +18,7 @@ from kinship.llm import (
     mixing,
     ngram_quality,
     pairwise_quality,
+    prefix_trie,
     secret_scan,
     token_counts,
     word_bpe,
@@ -94,6 +95,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
@@ -113,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rules": op8_rules,
     "op9_chat": op9_chat,
     "op10_secrets": op10_secrets,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_search": op12_search,
     "op13_tokens": op13_tokens,
 }
@@ -151,6 +157,54 @@ ORACLE_SQL = {
         SELECT sets.doc_id, len(shingles)::BIGINT AS n_shingles, component_id, sets.doc_id = component_id AS kept
         FROM sets JOIN low ON sets.doc_id = low.doc_id
     """,
+    "op11_prefix_trie": """
+        WITH convs AS (
+            SELECT conv_id, count(*) AS n_turns,
+                -- CRC-32 of the decimal digits, bit by bit.
+                xor(4294967295, list_reduce(
+                    list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                    lambda crc, byte: list_reduce(
+                        list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                        lambda a, z: xor(a >> 1, (a & 1) * 3988292384::BIGINT)))) % 4 AS h,
+                conv_id - conv_id % 20 AS base
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ),
+        said AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        rebuilt AS (
+            SELECT c.conv_id, s.place, s.role, s.text FROM convs c JOIN said s ON s.conv_id = c.base AND s.place <= c.h
+            UNION ALL
+            SELECT c.conv_id, s.place + 1000000, s.role, s.text FROM convs c JOIN said s ON s.conv_id = c.conv_id AND s.place > c.h
+        ),
+        whole AS (
+            SELECT c.conv_id, coalesce(list({'role': role, 'text': text} ORDER BY place) FILTER (WHERE place IS NOT NULL), []) AS turns
+            FROM convs c LEFT JOIN rebuilt r ON r.conv_id = c.conv_id GROUP BY c.conv_id
+        ),
+        member AS (
+            SELECT conv_id, len(turns) AS n, d AS depth, list_slice(turns, 1, d) AS path
+            FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM whole)
+        ),
+        node AS (
+            SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256,
+                CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(path[depth].text, '[^\\x20\\x09-\\x0D]+')) END AS words,
+                bool_and(n = depth) AS leaf
+            FROM member GROUP BY depth, path
+        ),
+        child AS (SELECT depth - 1 AS depth, list_slice(path, 1, depth - 1) AS path, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1, 2),
+        above AS (
+            SELECT list_slice(path, 1, up) AS path, leaf, (n_convs - 1) * words AS saved
+            FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM node)
+        ),
+        total AS (SELECT path, count(*) FILTER (WHERE leaf) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY path)
+        SELECT node.conv_id, node.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, node.n_convs,
+            coalesce(n_children, 0)::BIGINT AS n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, node.ends_sha256
+        FROM node JOIN total USING (path) LEFT JOIN child ON child.path = node.path
+        LEFT JOIN node p ON p.depth = node.depth - 1 AND p.path = list_slice(node.path, 1, node.depth - 1)
+    """,
     "op12_search": """
         WITH said AS (
             SELECT doc_id, unnest(regexp_extract_all(

@@ -27,14 +27,19 @@ def keyed(df: DataFrame, *keys: str) -> DataFrame:
 def one_record_per_id(pages: DataFrame, *columns: str) -> DataFrame:
     """(id, *columns) of the one record that counts for each id.
 
-    A partial aggregate before one shuffle by id; joins on the id that follow
-    find the rows where they need them. Only ``columns`` and those that come
-    before them in the order of preference are read.
+    Records are counted by id first, by hash. Ids with a single record, nearly
+    all, keep it as it is; a record is chosen, by an aggregate that has to
+    sort, only among the records of the others. Spark broadcasts the repeated
+    ids where its size check finds them few. Only ``columns`` and those that
+    come before them in the order of preference are read.
     """
     last = max((RECORD_ORDER.index(c) for c in columns), default=-1)
     order = RECORD_ORDER[: last + 1]
     if not order:
         return keyed(pages, "id").select("id").dropDuplicates()
     fields = [f for c in order for f in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]
-    best = keyed(pages, "id").groupBy("id").agg(F.min(F.struct(*fields)).alias("_record"))
-    return best.select("id", *(F.col("_record")[c].alias(c) for c in columns))
+    records = keyed(pages, "id").select("id", *order)
+    repeated = records.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("id")
+    single = records.join(repeated, "id", "left_anti").select("id", *columns)
+    best = records.join(repeated, "id", "left_semi").groupBy("id").agg(F.min(F.struct(*fields)).alias("_record"))
+    return single.unionByName(best.select("id", *(F.col("_record")[c].alias(c) for c in columns)))

@@ -82,6 +82,13 @@ QUERIES: dict[str, Query] = {
     "mutual_degree": _q(lambda t: reciprocity.mutual_degree(t.follows, t.pages)),
     # Sources: the tables rendered as mixed CSV text
     "record_type_counts": _q(lambda t: records.record_type_counts(records.mixed_lines(t.pages, t.follows, t.activity))),
+    "record_type_counts_all": _q(
+        lambda t: records.record_type_counts(
+            records.mixed_lines(t.pages, t.follows, t.activity)
+            .unionByName(records.narrow_lines(t.orders))
+            .unionByName(records.customer_lines(t.customers))
+        )
+    ),
     "malformed_rows": _q(lambda t: records.malformed_rows(records.mixed_lines(t.pages, t.follows, t.activity))),
     "malformed_rows_narrow": _q(
         lambda t: records.malformed_rows(

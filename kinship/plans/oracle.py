@@ -222,6 +222,19 @@ _BODIES["malformed_rows_narrow"] = _BODIES["malformed_rows"].replace(
 line_tokens""",
 )
 
+# All five kinds: the lines of two fields, and lines of a number, a number, a text and a text.
+_BODIES["record_type_counts_all"] = _BODIES["record_type_counts"].replace(
+    "\n),\nline_tokens",
+    f"""
+  UNION ALL
+  SELECT 'orders', {_num('o_orderkey')} || ',' || {_num('o_custkey')} FROM orders
+  UNION ALL
+  SELECT 'customer', {_num('c_custkey')} || ',' || {_num('c_nationkey')} || ',' || {_field('c_name')} || ',' || {_field('c_mktsegment')}
+  FROM customer
+),
+line_tokens""",
+)
+
 # Other views of the same tables (see ``sources.tables.VIEWS``): in the first some pages have no follower,
 # in the second some followed and visited pages have no record.
 REVERSED_VIEWS = VIEWS.replace("o_custkey AS id1, l_partkey AS id2", "l_partkey AS id1, o_custkey AS id2")

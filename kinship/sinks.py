@@ -1,7 +1,8 @@
 """Writers for results and generated inputs.
 
 * :func:`write_key_value_text` - one ``key<TAB>value`` line per row (several
-  value columns are joined with commas), the classic text output.
+  value columns are joined with commas), the classic text output; with
+  ``ordered``, in the order of the key over all part files.
 * :func:`write_csv` - headerless CSV, quoted where a field holds a comma.
 
 ``mode`` is Spark's save mode: ``errorifexists`` (the default: refuse an
@@ -31,10 +32,28 @@ def key_value_lines(df: DataFrame, key: str | Sequence[str], values: Sequence[st
     return df.select(F.concat_ws("\t", joined(keys), joined(values)).alias("value"))
 
 
+def in_key_order(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Rows in the order of their key over all partitions: numbers by value,
+    text by its bytes, missing keys first.
+
+    The tasks get ranges of the key and sort them, so the part files, read in
+    the order of their names, are the sorted result. The other columns break
+    ties: rows of one hot key are cut into ranges too.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.orderBy(*keys, *(c for c in df.columns if c not in keys))
+
+
 def write_key_value_text(
-    df: DataFrame, path: str, key: str | Sequence[str], values: Sequence[str] | None = None, mode: str = "errorifexists"
+    df: DataFrame,
+    path: str,
+    key: str | Sequence[str],
+    values: Sequence[str] | None = None,
+    mode: str = "errorifexists",
+    ordered: bool = False,
 ) -> None:
-    key_value_lines(df, key, values).write.mode(mode).text(path)
+    rows = in_key_order(df, key) if ordered else df
+    key_value_lines(rows, key, values).write.mode(mode).text(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

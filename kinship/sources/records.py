@@ -79,6 +79,12 @@ def narrow_lines(orders: DataFrame) -> DataFrame:
     return orders.select(F.lit("orders").alias("source"), _csv_line(F.col("o_orderkey"), F.col("o_custkey")).alias("value"))
 
 
+def customer_lines(customer: DataFrame) -> DataFrame:
+    """Lines whose second token is a number and whose third is text: of none of the three kinds."""
+    fields = ("c_custkey", "c_nationkey", "c_name", "c_mktsegment")
+    return customer.select(F.lit("customer").alias("source"), _csv_line(*(F.col(c) for c in fields)).alias("value"))
+
+
 def follower_records(lines: DataFrame) -> DataFrame:
     """(id, follower, nickname) of the page and follow lines of a mixed folder, for
     ``plans.followers.follower_count_of_records``: each line is read and split once."""

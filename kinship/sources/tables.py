@@ -130,6 +130,10 @@ class Inputs:
     def orders(self) -> DataFrame:
         return table(self.spark, self.sf_dir, "orders")
 
+    @property
+    def customers(self) -> DataFrame:
+        return table(self.spark, self.sf_dir, "customer")
+
     @property
     def activity(self) -> DataFrame:
         return activity(self.spark, self.sf_dir)

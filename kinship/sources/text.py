@@ -9,14 +9,17 @@ folders can be read in one job.
 Malformed-row policy (one policy for all inputs): in PERMISSIVE mode a field
 that does not parse becomes NULL and the rest of the row is kept; a row
 without its key column is dropped by the plans (``kinship.operators.keys``). ``mode="FAILFAST"`` makes a
-scan fail on the first bad row instead.
+scan fail on the first bad row instead. A scan can count its rows and its bad
+rows for an ``Observation`` while the job that needs them runs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,10 +52,22 @@ CSV_OPTIONS = {
 }
 
 
-def _paths(paths: str | Sequence[str]) -> list[str]:
-    if isinstance(paths, str):
-        return [p for p in paths.split(",") if p]
-    return list(paths)
+def path_list(paths: str | Sequence[str]) -> list[str]:
+    """The paths of a comma-separated list; a comma inside braces belongs to
+    its pattern, as in ``data/{a,b}.csv``. A brace that is never closed has no
+    meaning of its own."""
+    if not isinstance(paths, str):
+        return list(paths)
+    found, start, depth = [], 0, 0
+    for i, char in enumerate(paths):
+        if char == "{" and "}" in paths[i:]:
+            depth += 1
+        elif char == "}" and depth:
+            depth -= 1
+        elif char == "," and not depth:
+            found.append(paths[start:i])
+            start = i + 1
+    return [p for p in (*found, paths[start:]) if p]
 
 
 # Fixed value: characters stripped from number and date fields when a scan
@@ -74,6 +89,8 @@ def read_csv(
     mode: str = "PERMISSIVE",
     keep_corrupt: bool = False,
     trim_numbers: bool = False,
+    counted: Observation | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Typed scan of one or more headerless CSV paths (files or folders;
     a single string may hold several comma-separated paths).
@@ -81,42 +98,99 @@ def read_csv(
     With ``trim_numbers`` (PERMISSIVE only), number and date fields may be
     padded with spaces or control characters: they are read as text,
     stripped and then cast (a failed cast gives NULL); text fields are kept
-    exactly as written."""
-    if trim_numbers:
-        if mode != "PERMISSIVE":
-            raise ValueError(f"trim_numbers reads fields as text first and works in PERMISSIVE mode only, not {mode}")
-        as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-        raw = spark.read.options(**CSV_OPTIONS).option("mode", mode).schema(as_text).csv(_paths(paths))
-        return raw.select(
-            *[
-                (F.col(f.name) if isinstance(f.dataType, T.StringType) else _trimmed_cast(F.col(f.name), f.dataType))
-                .alias(f.name)
-                for f in schema.fields
-            ]
-        )
+    exactly as written.
+
+    ``counted`` gets the metrics ``n_rows``, ``n_bad`` and ``n_gaps`` (rows
+    without one of their numbers or dates) of the scan, from the same job that
+    reads it. With ``strict`` a bad row fails the job, also
+    where fields are trimmed; ``mode="FAILFAST"`` is Spark's own check, for
+    scans that trim nothing. A bad row has another number of fields than the
+    schema, or a number or date field that is not empty and does not parse;
+    to find them every field is parsed, also those that the plan does not need."""
     reader = spark.read.options(**CSV_OPTIONS).option("mode", mode)
-    if keep_corrupt and mode == "PERMISSIVE":
-        schema = schemas.with_corrupt_column(schema)
+    if mode != "PERMISSIVE" and counted is None and not trim_numbers:
+        # Any bad field of a row fails the scan, also one that the plan does not need.
+        return reader.option("columnPruning", "false").schema(schema).csv(path_list(paths))
+    if trim_numbers and mode != "PERMISSIVE":
+        raise ValueError(f"trim_numbers reads fields as text first and works in PERMISSIVE mode only, not {mode}")
+    read = schema
+    if trim_numbers:
+        read = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    if (strict or counted is not None) and mode == "PERMISSIVE":
+        raw = _judged(reader, path_list(paths), read, schema, counted, strict)
+    elif keep_corrupt and mode == "PERMISSIVE":
         reader = reader.option("columnNameOfCorruptRecord", schemas.CORRUPT_COLUMN)
-    return reader.schema(schema).csv(_paths(paths))
+        return reader.schema(schemas.with_corrupt_column(schema)).csv(path_list(paths))
+    else:
+        raw = reader.schema(read).csv(path_list(paths))
+    if not trim_numbers:
+        return raw
+    return raw.select(
+        *[
+            (F.col(f.name) if isinstance(f.dataType, T.StringType) else _trimmed_cast(F.col(f.name), f.dataType))
+            .alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
-def read_pages(spark: SparkSession, paths, mode: str = "PERMISSIVE", trim_numbers: bool = False) -> DataFrame:
-    return read_csv(spark, paths, schemas.PAGE, mode, trim_numbers=trim_numbers)
+def _judged(
+    reader, paths: list[str], read: T.StructType, schema: T.StructType, counted: Observation | None, strict: bool
+) -> DataFrame:
+    """The scan with its rows and bad rows counted on the way, or failing at a bad one."""
+    reader = reader.option("columnNameOfCorruptRecord", schemas.CORRUPT_COLUMN).option("columnPruning", "false")
+    raw = reader.schema(schemas.with_corrupt_column(read)).csv(paths)
+    bad = F.col(schemas.CORRUPT_COLUMN).isNotNull()
+    for text_field, field in zip(read.fields, schema.fields):
+        if text_field.dataType != field.dataType:
+            value = F.col(field.name)
+            bad = bad | (value.isNotNull() & _trimmed_cast(value, field.dataType).isNull())
+    if counted is not None:
+        # The last count needs all numbers and dates, so the scan parses them all.
+        gap = reduce(or_, (F.col(f.name).isNull() for f in schema.fields if not isinstance(f.dataType, T.StringType)))
+        counts = {"n_rows": F.count(F.lit(1)), "n_bad": F.count_if(bad), "n_gaps": F.count_if(gap)}
+        raw = raw.observe(counted, *(count.alias(name) for name, count in counts.items()))
+    if strict:
+        shown = F.concat(F.lit("malformed row: "), F.to_json(F.struct(*(f.name for f in read.fields))))
+        raw = raw.where(F.when(bad, F.raise_error(shown).cast("boolean")).otherwise(True))
+    return raw.drop(schemas.CORRUPT_COLUMN)
+
+
+def read_pages(
+    spark: SparkSession,
+    paths,
+    mode: str = "PERMISSIVE",
+    trim_numbers: bool = False,
+    counted: Observation | None = None,
+    strict: bool = False,
+) -> DataFrame:
+    return read_csv(spark, paths, schemas.PAGE, mode, trim_numbers=trim_numbers, counted=counted, strict=strict)
 
 
 def read_follows(
-    spark: SparkSession, paths, mode: str = "PERMISSIVE", integer_time: bool = False, trim_numbers: bool = False
+    spark: SparkSession,
+    paths,
+    mode: str = "PERMISSIVE",
+    integer_time: bool = False,
+    trim_numbers: bool = False,
+    counted: Observation | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     schema = schemas.FOLLOWS_INT if integer_time else schemas.FOLLOWS
-    return read_csv(spark, paths, schema, mode, trim_numbers=trim_numbers)
+    return read_csv(spark, paths, schema, mode, trim_numbers=trim_numbers, counted=counted, strict=strict)
 
 
 def read_activity(
-    spark: SparkSession, paths, mode: str = "PERMISSIVE", integer_time: bool = False, trim_numbers: bool = False
+    spark: SparkSession,
+    paths,
+    mode: str = "PERMISSIVE",
+    integer_time: bool = False,
+    trim_numbers: bool = False,
+    counted: Observation | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     schema = schemas.ACTIVITY_INT if integer_time else schemas.ACTIVITY
-    return read_csv(spark, paths, schema, mode, trim_numbers=trim_numbers)
+    return read_csv(spark, paths, schema, mode, trim_numbers=trim_numbers, counted=counted, strict=strict)
 
 
 def read_key_value(spark: SparkSession, paths, schema: T.StructType | str) -> DataFrame:
@@ -125,7 +199,7 @@ def read_key_value(spark: SparkSession, paths, schema: T.StructType | str) -> Da
     return (
         spark.read.options(**{**CSV_OPTIONS, "sep": "\t", "quote": "\u0000"})
         .schema(schema)
-        .csv(_paths(paths))
+        .csv(path_list(paths))
     )
 
 
@@ -133,7 +207,7 @@ def read_lines(spark: SparkSession, paths) -> DataFrame:
     """Raw lines (column ``value``) of any number of text paths; folders are
     read with all their sub-folders (a mixed folder may hold one sub-folder
     per source)."""
-    return spark.read.option("recursiveFileLookup", "true").text(_paths(paths))
+    return spark.read.option("recursiveFileLookup", "true").text(path_list(paths))
 
 
 def _kind_of_tokens(toks: F.Column) -> F.Column:

@@ -75,6 +75,33 @@ def test_cli_h_people_and_mixed_lines(spark, micro_paths, tmp_path):
     assert both == _lines(spark, ["D", "--pages", p, "--follows", f, "--out", out])
 
 
+def _run(tmp_path, *argv):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "PYTHONPATH": root, "KINSHIP_DRIVER_MEMORY": "2g"}
+    cmd = [sys.executable, "-m", "kinship", *argv, "--master", "local[2]"]
+    return subprocess.run(cmd, env=env, capture_output=True, timeout=600, text=True)
+
+
+def test_cli_main_braces_order_and_bad_rows(tmp_path):
+    """Brace patterns reach the scan whole; part files are in key order; bad rows are printed, or fail the run."""
+    (tmp_path / "a.csv").write_text("".join(f"{i},1,{i % 101 - 3},100,x\n" for i in range(400)))
+    (tmp_path / "b.csv").write_text("500,2,7,100,x\n501,2\n502,2,nine,100,x\n")
+    (tmp_path / "c.csv").write_text("600,2,5000,100,x\n")
+    paths = f"{tmp_path}/{{a,b}}.csv"
+    (tmp_path / "p.csv").write_text("".join(f"{i},n{i},j,1,h\n" for i in range(120)))
+    done = _run(tmp_path, "D", "--follows", paths, "--pages", f"{tmp_path}/p.csv", "--out", f"{tmp_path}/out")
+    assert done.returncode == 0, done.stderr[-2000:]
+    lines = [line for part in sorted((tmp_path / "out").glob("part-*")) for line in part.read_text().splitlines()]
+    assert [int(line.split(",")[0]) for line in lines] == list(range(-3, 120))
+    assert "7,n7\t2" in lines and "follows: 403 rows, 2 bad" in done.stderr and "pages: 120 rows, 0 bad" in done.stderr
+    strict = _run(tmp_path, "D", "--follows", paths, "--pages", f"{tmp_path}/p.csv", "--out", f"{tmp_path}/no", "--fail-fast")
+    assert strict.returncode != 0 and "malformed row" in strict.stderr
+
+
 def test_cli_main_takes_path_patterns(tmp_path):
     import os
     import subprocess

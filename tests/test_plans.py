@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from support import SF_SMALL
 
+from kinship.operators import one_record_per_id
 from kinship.plans import followers, recency, visits
 from kinship.plans.catalog import queries
 from kinship.sources import records, text
@@ -39,9 +42,13 @@ def test_popular_users_reuses_counts(spark):
 
 
 def test_reciprocity_plans(spark):
-    assert "LeftAnti" in _plan(spark, "not_followed_back_antijoin")
-    one_shuffle = _plan(spark, "not_followed_back")
-    assert "bit_or" in one_shuffle and "LeftAnti" not in one_shuffle
+    # Anti joins by both ends of an edge; the page records have some of their own, by id.
+    def of_edges(plan):
+        return [keys for keys in re.findall(r"Join \[([^\]]*)\][^\n]*LeftAnti", plan) if "," in keys]
+
+    by_anti_join, one_shuffle = _plan(spark, "not_followed_back_antijoin"), _plan(spark, "not_followed_back")
+    assert of_edges(by_anti_join) and not of_edges(one_shuffle)
+    assert "bit_or" in one_shuffle and "bit_or" not in by_anti_join
 
 
 def _text_scans(plan: str) -> int:
@@ -68,6 +75,25 @@ def test_mixed_lines_are_read_once(spark, micro_paths):
     assert _text_scans(plan) == 1 and "Join" not in plan
 
 
+def test_mixed_lines_are_hashed_not_sorted(spark, micro_paths):
+    """Only the last aggregate, over a row or two for each id, sorts."""
+    lines = text.read_lines(spark, ",".join(micro_paths.values()))
+    df = followers.follower_count_of_records(records.follower_records(lines))
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    steps = [line for line in plan.splitlines() if "Aggregate(" in line]
+    assert [("Sort" in line) for line in steps] == [True, True, False, False, False, False]
+    assert all("nickname" in line.split("keys=")[1].split("]")[0] for line in steps[2:])
+
+
+def test_one_record_per_id_sorts_only_repeated_ids(spark, micro):
+    plan = one_record_per_id(micro.pages, "nickname")._jdf.queryExecution().sparkPlan().toString()
+    single, chosen = plan.split("LeftSemi")[0], plan.split("LeftSemi")[1]
+    assert "LeftAnti" in single and "SortAggregate" not in chosen
+    # The aggregates that sort stand right above the semi join with the repeated ids.
+    assert single.count("SortAggregate") == 2 and single.index("LeftAnti") < single.index("SortAggregate")
+    assert plan.count("partial_count(1)") == 2
+
+
 def test_lookup_broadcasts_by_size_only(spark, micro):
     """A small k is broadcast by Spark's own check; with the checks off nothing is, however large k."""
     few = visits.top_pages(micro.activity, micro.pages, k=10)
@@ -106,7 +132,7 @@ def test_each_input_scanned_once_with_shuffled_joins(spark):
             df.collect()
             plan = executed_plan(df)
             # Text queries render follows and activity as two files.
-            twice = ("record_type_counts", "malformed_rows", "malformed_rows_narrow")
+            twice = ("record_type_counts", "record_type_counts_all", "malformed_rows", "malformed_rows_narrow")
             allowed = 2 if ("text" in name or name in twice) else 1
             assert plan.count("FileScan parquet [l_orderkey") <= allowed, name
     finally:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from support import rows
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from kinship.sources import records, schemas, text
@@ -53,6 +54,30 @@ def test_failfast_scan_raises(spark, tmp_path):
         text.read_activity(spark, str(path), mode="FAILFAST").collect()
 
 
+def test_path_lists_know_braces():
+    assert text.path_list("a,b/{x,y}.csv,c") == ["a", "b/{x,y}.csv", "c"]
+    assert text.path_list("{a,{b,c}}/d,,e") == ["{a,{b,c}}/d", "e"]
+    assert text.path_list("a{b,c,d}e}") == ["a{b,c,d}e}"] and text.path_list("a{b,c") == ["a{b", "c"]
+    assert text.path_list(["a,b"]) == ["a,b"] and text.path_list("") == []
+
+
+def test_bad_rows_are_counted_by_the_job_that_reads_them(spark, tmp_path):
+    """Short and long rows, bad numbers and dates; an empty field is not bad; unread fields count too."""
+    path = tmp_path / "log.csv"
+    path.write_text("1,2,3,viewed,2024-01-01\n2,2\n3,x,3,viewed,2024-01-01\n4,2,3,viewed,never\n5,,3,viewed,\n6,2,3,viewed,2024-01-01,more\n 7 ,2, 3,viewed,2024-01-02\n")
+    for trim, n_bad, n_gaps in ((False, 5, 5), (True, 4, 2)):
+        seen = Observation()
+        df = text.read_activity(spark, str(path), counted=seen, trim_numbers=trim)
+        assert df.columns == schemas.ACTIVITY.fieldNames()
+        plain = text.read_activity(spark, str(path), trim_numbers=trim).select("page_id", "by_who")
+        assert df.select("page_id", "by_who").collect() == plain.collect()
+        assert seen.get == {"n_rows": 7, "n_bad": n_bad, "n_gaps": n_gaps}
+        with pytest.raises(Exception, match="malformed row"):
+            text.read_activity(spark, str(path), strict=True, trim_numbers=trim).select("page_id").collect()
+    (tmp_path / "good.csv").write_text("1,2,3,viewed,2024-01-01\n5,,3,viewed,\n")
+    assert text.read_activity(spark, str(tmp_path / "good.csv"), strict=True).count() == 2
+
+
 def test_multi_path_scan(spark, micro_paths, tmp_path):
     extra = tmp_path / "more.csv"
     extra.write_text("9,9,9,viewed,1200\n")

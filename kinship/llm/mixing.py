@@ -9,8 +9,9 @@
 The classifier is Spark's multinomial logistic regression over the presence of
 words, beginnings of words and runs of punctuation, the ``VOCABULARY`` ones
 whose shares of documents differ most between the domains. It learns from at
-most ``sample_rows`` documents of each domain (the smallest by a hash of their
-id), weighted so that the domains count as often as among all labels.
+most ``sample_rows`` labelled documents of each domain that the table holds
+(the smallest by a hash of their id), weighted so that the domains count as
+often as among all its labelled documents.
 
 Each step of the descent is one aggregate over the documents' posteriors,
 which gives as many sums as there are domains. A document's rate follows from
@@ -30,42 +31,57 @@ empty table gives none; further columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinship.llm.common import first_by_hash, numbered, spread, written
+from kinship.llm.common import numbered, spread, written
 
 SAMPLE_ROWS = 2000
 VOCABULARY = 2000
 LEAST_DOCUMENTS = 5
 BEGINNING = 5
 PENALTY = 1e-2
-STEPS = 60
+STEPS = 200
 CLOSE = 1e-4
 
+# The part of a domain's tokens by which its target may be missed when the steps run out.
+MISSED = 0.02
 
-def tokens(text: Column) -> Column:
+# Texts that are scored together.
+BATCH_ROWS = 1000
+
+
+WORD = re.compile(r"[^\W_]+|(?:[^\w\s]|_)+")
+
+
+def tokens(text: str | None) -> list[str]:
     """Lower-case words and runs of punctuation of a whole text."""
-    body = F.lower(F.coalesce(text, F.lit("")))
-    return F.filter(F.split(F.regexp_replace(body, r"([^\p{L}\p{N}\s]+)", " $1 "), r"\s+"), lambda t: t != "")
+    return WORD.findall((text or "").lower())
 
 
-def marks(words: Column) -> Column:
+def marks(words: list[str]) -> set[str]:
     """The distinct tokens, and the beginnings of the longer ones."""
-    long = F.filter(words, lambda w: F.char_length(w) > BEGINNING)
-    return F.array_distinct(
-        F.concat(words, F.transform(long, lambda w: F.concat(F.lit("^"), F.substring(w, 1, BEGINNING))))
-    )
+    found = set(words)
+    return found | {"^" + w[:BEGINNING] for w in found if len(w) > BEGINNING}
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(domain, label, text) -> (domain, label, _kn_marks)."""
+    for batch in batches:
+        found = [sorted(marks(tokens(t))) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("domain"), batch.column("label"), pa.array(found, pa.list_(pa.string()))], names=["domain", "label", "_kn_marks"]
+        )
 
 
 def telling_marks(sample: DataFrame, drawn: dict[str, int], size: int) -> list[str]:
@@ -87,61 +103,96 @@ def telling_marks(sample: DataFrame, drawn: dict[str, int], size: int) -> list[s
     return [r["mark"] for r in top.orderBy(score.desc(), "mark").limit(size).select("mark").collect()]
 
 
-def domain_posteriors(
-    docs: DataFrame, labelled: DataFrame, domains: list[str], sample_rows: int = SAMPLE_ROWS
-) -> Callable[[DataFrame], DataFrame]:
-    """Learns from ``labelled`` (doc_id, domain); the result adds ``posterior`` (an array in
-    the order of ``domains``) and ``n_tokens`` to a table with a text."""
+def _sampled(docs: DataFrame, labelled: DataFrame, domains: list[str], sample_rows: int) -> tuple[DataFrame, dict[str, int]]:
+    """(domain, label, text) of at most ``sample_rows`` labelled documents of each domain, the
+    smallest by a hash of their id, and how many labelled documents each domain has in ``docs``."""
     known = labelled.where(F.col("domain").isin(*domains) & F.col("doc_id").isNotNull())
-    known = written(known.groupBy("doc_id").agg(F.min("domain").alias("domain")), "mixing-labels")
+    known = known.groupBy("doc_id").agg(F.min("domain").alias("domain"))
+    # Labels of documents that are not there teach nothing and take up no place in the sample.
+    known = written(known.join(docs.select("doc_id"), "doc_id", "left_semi"), "mixing-labels")
     counts = {r["domain"]: r["n"] for r in known.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # At most ``sample_rows`` ids a domain, so the documents are read without moving them.
-    ids = first_by_hash(known, "doc_id", sample_rows, ["domain"])
-    place = {d: i for i, d in enumerate(domains)}
-    number = reduce(lambda c, d: c.when(F.col("domain") == d, place[d]), domains[1:], F.when(F.col("domain") == domains[0], 0))
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
-    sample = rows.select(marks(tokens(F.col("text"))).alias("_kn_marks"), "domain", number.cast("double").alias("label"))
-    sample = written(sample.repartition(6), "mixing-sample")
-    drawn = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
-    found = sorted(drawn, key=place.get)
+    # A domain's ids by one top-n over all tasks each; the ids in all are bounded, so the documents are not moved.
+    drawn = [known.where(F.col("domain") == d).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows) for d in domains if d in counts]
+    if not drawn:
+        return docs.select(F.lit("").alias("domain"), F.lit(0.0).alias("label"), "text").limit(0), counts
+    ids = written(reduce(DataFrame.unionByName, drawn), "mixing-ids")
+    number = F.array_position(F.array(*map(F.lit, domains)), F.col("domain")) - 1
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    # Of the texts of a repeated id the smallest counts.
+    one = rows.groupBy("doc_id", "domain").agg(F.min("text").alias("text"))
+    return one.select("domain", number.cast("double").alias("label"), "text"), counts
+
+
+@dataclass
+class Posteriors:
+    """A fitted classifier: the weight of each mark for each domain; 0 classes where there is nothing to tell apart."""
+
+    domains: list[str]
+    only: int
+    intercept: list[float]
+    weights: dict[str, list[float]]
+
+    def score(self, texts: list[str | None]) -> tuple[list[int], np.ndarray]:
+        """Tokens and posterior of each text."""
+        n, out = [], np.zeros((len(texts), len(self.domains)))
+        for row, text in zip(out, texts):
+            words = tokens(text)
+            n.append(len(words))
+            if not self.intercept:
+                row[self.only] = 1.0
+                continue
+            margin = np.array(self.intercept)
+            # In a fixed order, so that a text's score never depends on its worker.
+            here = [self.weights[m] for m in sorted(marks(words) & self.weights.keys())]
+            if here:
+                margin = margin + np.sum(here, axis=0)
+            chance = np.exp(margin - margin.max())
+            row[: len(chance)] = chance / chance.sum()
+        return n, out
+
+    def added_to(self, table: DataFrame, n_tokens: str = "n_tokens", posterior: str = "posterior") -> DataFrame:
+        """``table``, which has a text, with its tokens and its posterior."""
+        fitted = table.sparkSession.sparkContext.broadcast(self)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for start in range(0, whole.num_rows, BATCH_ROWS):
+                    batch = whole.slice(start, BATCH_ROWS)
+                    n, p = fitted.value.score(batch.column("text").to_pylist())
+                    offsets = pa.array(np.arange(0, p.size + 1, p.shape[1]), pa.int32())
+                    made = [pa.array(n, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(p.ravel()))]
+                    yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, n_tokens, posterior])
+
+        more = [T.StructField(n_tokens, T.LongType()), T.StructField(posterior, T.ArrayType(T.DoubleType()))]
+        return table.mapInArrow(run, T.StructType([*table.schema.fields, *more]))
 
-    def counted(table: DataFrame) -> DataFrame:
-        split = table.withColumn("_kn_tokens", tokens(F.col("text")))
-        counts = split.withColumn("n_tokens", F.size("_kn_tokens").cast("long"))
-        return counts.withColumn("_kn_marks", marks(F.col("_kn_tokens"))).drop("_kn_tokens")
 
+def domain_posteriors(
+    docs: DataFrame, labelled: DataFrame, domains: list[str], sample_rows: int = SAMPLE_ROWS
+) -> Posteriors:
+    """Learns from ``labelled`` (doc_id, domain) and the texts of ``docs``."""
+    texts, counts = _sampled(docs, labelled, domains, sample_rows)
+    sample = texts.repartition(6).mapInArrow(_marked, "domain string, label double, _kn_marks array<string>")
+    sample = written(sample, "mixing-sample")
+    drawn = {r["domain"]: r["n"] for r in sample.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = [d for d in domains if d in drawn]
     if len(found) < 2:
-        only = place[found[0]] if found else 0
-        fixed = F.array(*(F.lit(1.0 if i == only else 0.0) for i in range(len(domains))))
-        return lambda table: counted(table).withColumn("posterior", fixed).drop("_kn_marks")
-    weight = reduce(
-        lambda c, d: c.when(F.col("domain") == d, counts[d] / drawn[d]), found[1:], F.when(F.col("domain") == found[0], counts[found[0]] / drawn[found[0]])
-    )
-    vocabulary = telling_marks(sample, {d: drawn[d] for d in found}, VOCABULARY)
-    present = CountVectorizerModel.from_vocabulary(vocabulary or ["^"], "_kn_marks", "_kn_present")
+        return Posteriors(domains, domains.index(found[0]) if found else 0, [], {})
+    each = F.create_map(*(F.lit(x) for d in found for x in (d, counts[d] / drawn[d])))
+    vocabulary = telling_marks(sample, {d: drawn[d] for d in found}, VOCABULARY) or ["^"]
+    present = CountVectorizerModel.from_vocabulary(vocabulary, "_kn_marks", "_kn_present", binary=True)
     solver = LogisticRegression(
         featuresCol="_kn_present",
         family="multinomial",
         regParam=PENALTY,
         maxIter=60,
         weightCol="weight",
-        probabilityCol="_kn_chance",
-        rawPredictionCol="_kn_raw",
         predictionCol="_kn_class",
     )
-    fitted = solver.fit(present.transform(sample.withColumn("weight", weight)))
-    model = PipelineModel([present, fitted])
-    classes = fitted.numClasses
-
-    def apply(table: DataFrame) -> DataFrame:
-        out = model.transform(counted(table))
-        chance = vector_to_array("_kn_chance")
-        # A domain after the last labelled one is no class of the model.
-        padded = F.array(*(chance[i] if i < classes else F.lit(0.0) for i in range(len(domains))))
-        made = ("_kn_marks", "_kn_present", "_kn_chance", "_kn_raw", "_kn_class")
-        return out.withColumn("posterior", padded).drop(*made)
-
-    return apply
+    fitted = solver.fit(present.transform(sample.withColumn("weight", each[F.col("domain")])))
+    # A domain after the last labelled one is no class of the model.
+    weights = fitted.coefficientMatrix.toArray().T
+    return Posteriors(domains, 0, fitted.interceptVector.toArray().tolist(), dict(zip(vocabulary, weights.tolist())))
 
 
 def _replay(posterior: np.ndarray, history: list[tuple[float, list[float]]], max_rate: float) -> np.ndarray:
@@ -153,19 +204,21 @@ def _replay(posterior: np.ndarray, history: list[tuple[float, list[float]]], max
     return rate
 
 
-def _posteriors(batch: pa.RecordBatch, size: int) -> np.ndarray:
-    return batch.column("posterior").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, size)
+def _posteriors(batch: pa.RecordBatch, size: int, name: str = "posterior") -> np.ndarray:
+    return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, size)
 
 
-def with_rates(table: DataFrame, history: list, max_rate: float, size: int) -> DataFrame:
+def with_rates(
+    table: DataFrame, history: list, max_rate: float, size: int, posterior: str = "posterior", name: str = "rate"
+) -> DataFrame:
     """``table``, which has a posterior, with each row's rate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rate = _replay(_posteriors(batch, size), history, max_rate)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], names=[*batch.schema.names, "rate"])
+            rate = _replay(_posteriors(batch, size, posterior), history, max_rate)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], names=[*batch.schema.names, name])
 
-    return table.mapInArrow(run, T.StructType([*table.schema.fields, T.StructField("rate", T.DoubleType())]))
+    return table.mapInArrow(run, T.StructType([*table.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def totals(weighed: DataFrame, history: list, max_rate: float, size: int) -> list[float]:
@@ -196,8 +249,10 @@ def fit_rates(
     ``shares`` are the domains' target weights. The tokens in all are
     ``budget``, by default those of the table; with ``anchor``, they are such
     that the target of that domain is what the table holds of it. The descent
-    has momentum: totals are linear in the rates, so those at the point ahead
-    follow from the last two.
+    has momentum, which begins anew where the totals move away from the
+    targets. It ends when the targets are met or the totals stand still (then
+    bounded rates allow no better); when the steps run out before that, with
+    a target missed by more than ``MISSED`` of its domain's tokens, it fails.
     """
     size = len(shares)
     held = totals(weighed, [], max_rate, size)
@@ -212,17 +267,32 @@ def fit_rates(
     history: list[tuple[float, list[float]]] = []
     reached = before = np.array(held)
     pace = 1.0
-    while len(history) < steps and np.abs((reached - targets) * scale).max(initial=0.0) >= CLOSE:
+
+    def missed(at: np.ndarray) -> float:
+        return float(np.abs((at - targets) * scale).max(initial=0.0))
+
+    while missed(reached) >= CLOSE:
+        if len(history) >= steps:
+            if missed(reached) > MISSED and np.abs((reached - before) * scale).max(initial=0.0) >= CLOSE:
+                raise RuntimeError(f"after {steps} steps a target is missed by {missed(reached):.3f} of its domain's tokens")
+            break
         faster = (1 + (1 + 4 * pace * pace) ** 0.5) / 2
         momentum, pace = (pace - 1) / faster, faster
         ahead = reached + momentum * (reached - before)
         history.append((momentum, ((ahead - targets) * scale).tolist()))
         before, reached = reached, np.array(totals(weighed, history, max_rate, size))
+        if missed(reached) > missed(before):
+            pace = 1.0
         if len(history) > 1 and np.abs((reached - before) * scale).max(initial=0.0) < CLOSE / 10:
             break
     return history, targets.tolist(), reached.tolist()
 
 
+def shortfall(targets: list[float], reached: list[float]) -> list[float]:
+    """By what part of its target each domain misses it; 0 where there is none."""
+    return [(r - t) / t if t else 0.0 for t, r in zip(targets, reached)]
+
+
 def mix(
     docs: DataFrame,
     labelled: DataFrame,
@@ -232,19 +302,27 @@ def mix(
     max_rate: float = float("inf"),
     seed: int = 0,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_tokens, posterior, rate, copies.
+    """One row per row of ``docs``: doc_id, n_tokens, posterior, rate, copies, missed.
 
     ``copies`` is the rate rounded down or up, up with the chance of its
-    fraction, by a hash of the id.
+    fraction, by a hash of the id (of the row, where there is no id).
+    ``missed`` is the largest part of a target by which a domain misses it.
     """
     domains = list(shares)
-    apply = domain_posteriors(docs, labelled, domains)
-    weighed = written(apply(docs.select("doc_id", "text")).select("doc_id", "n_tokens", "posterior"), "mixing-posteriors")
+    scored = domain_posteriors(docs, labelled, domains).added_to(docs.select("doc_id", "text"))
+    weighed = written(numbered(scored.select("doc_id", "n_tokens", "posterior"), "row"), "mixing-posteriors")
     at = domains.index(anchor) if anchor is not None else None
-    history, _, _ = fit_rates(weighed, list(shares.values()), budget, at, max_rate)
-    up = spread(F.col("doc_id"), F.lit(seed)) < F.col("rate") - F.floor("rate")
+    history, targets, reached = fit_rates(weighed, list(shares.values()), budget, at, max_rate)
+    up = _draw(F.col("doc_id"), F.col("row"), seed) < F.col("rate") - F.floor("rate")
     rated = with_rates(weighed, history, max_rate, len(domains))
-    return rated.withColumn("copies", (F.floor("rate") + up.cast("long")).cast("long"))
+    missed = max(map(abs, shortfall(targets, reached)), default=0.0)
+    copies = (F.floor("rate") + up.cast("long")).cast("long")
+    return rated.select("doc_id", "n_tokens", "posterior", "rate", copies.alias("copies"), F.lit(missed).alias("missed"))
+
+
+def _draw(doc_id, row, seed: int):
+    """A draw by the id; rows without an id draw for themselves."""
+    return F.when(doc_id.isNull(), spread(row, F.lit(seed))).otherwise(spread(doc_id, F.lit(seed)))
 
 
 def label_domains(labels: DataFrame) -> DataFrame:
@@ -258,12 +336,16 @@ def mixed(docs: DataFrame, labelled: DataFrame, shares: dict[str, float], anchor
 
     Rates are bounded by 1 and the target of ``anchor`` is all that is there
     of it, so the other domains shrink to their weights and nothing repeats.
-    Rows that share an id share its fate: they go if one of them would.
+    Rows that share an id share its draw, each with its own rate; rows without
+    an id draw for themselves. The rows are written once with their posteriors,
+    so they need no join to find their rates.
     """
     domains = list(shares)
-    posterior = domain_posteriors(docs, labelled, domains)(docs.select("doc_id", "text"))
-    weighed = written(numbered(posterior.select("doc_id", "n_tokens", "posterior"), "row"), "mixing-posteriors")
-    history, _, _ = fit_rates(weighed, list(shares.values()), None, domains.index(anchor), 1.0)
-    rated = with_rates(weighed, history, 1.0, len(domains))
-    left = rated.where(spread(F.col("doc_id"), F.lit(0)) >= F.col("rate")).select(F.col("doc_id").alias("_kn_id")).distinct()
-    return docs.join(left, F.col("doc_id").eqNullSafe(F.col("_kn_id")), "left_anti")
+    made = {name: f"_kn_{name}" for name in ("n_tokens", "posterior", "row", "rate")}
+    scored = domain_posteriors(docs, labelled, domains).added_to(docs, made["n_tokens"], made["posterior"])
+    weighed = written(numbered(scored, made["row"]), "mixing-posteriors")
+    narrow = weighed.select(F.col(made["n_tokens"]).alias("n_tokens"), F.col(made["posterior"]).alias("posterior"))
+    history, _, _ = fit_rates(narrow, list(shares.values()), None, domains.index(anchor), 1.0)
+    rated = with_rates(weighed, history, 1.0, len(domains), made["posterior"], made["rate"])
+    taken = _draw(F.col("doc_id"), F.col(made["row"]), 0) < F.col(made["rate"])
+    return rated.where(taken).select(*docs.columns)

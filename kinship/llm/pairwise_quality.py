@@ -13,7 +13,8 @@ label, the smallest by a hash of their id, and ``strides`` pairs for each good
 one. The threshold is taken from all labelled documents.
 
 Defined results: a null text counts as empty and is scored like any other;
-ids labelled twice count with the smaller label; labels without a document,
+ids labelled twice count with the smaller label, and of the texts of a
+repeated id the smallest is learned; labels without a document,
 and documents without a label, teach nothing; where one of the two labels is
 missing, every score is 0.5 and every document passes. Every row gives a row;
 an empty table gives none; further columns are ignored.
@@ -21,10 +22,12 @@ an empty table gives none; further columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -38,6 +41,9 @@ SAMPLE_ROWS = 3000
 STRIDES = 4
 PENALTY = 1e-3
 
+# Texts that are scored together where rejected ones go.
+BATCH_ROWS = 1000
+
 # Half the width, in shares of the labelled documents, of the step whose middle is the threshold.
 STEP = 0.005
 
@@ -115,7 +121,7 @@ def preference_pairs(docs: DataFrame, labelled: DataFrame, sample_rows: int, str
             .limit(sample_rows)
         )
         # At most ``sample_rows`` ids, so the documents are read without moving them.
-        rows = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+        rows = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
         side = rows.select("doc_id", text_features("text").alias("f"))
         place = F.row_number().over(Window.orderBy(F.xxhash64("doc_id"), "doc_id")) - 1
         sides.append(written(side.withColumn("place", place).coalesce(2), "ranking-side"))
@@ -159,11 +165,15 @@ def ranked(docs: DataFrame, labels: DataFrame, learn: Column | None = None) -> t
     if weights is None:
         return docs.select("doc_id", F.lit(0.0).alias("utility")), Ranker([0.0] * N_FEATURES, 0.0)
     scored = written(docs.select("doc_id", utility(F.col("text"), weights).alias("utility")), "ranking-scores")
-    of_known = scored.join(known, "doc_id")
+    return scored, Ranker(weights, passing(scored.join(known, "doc_id")))
+
+
+def passing(of_known: DataFrame) -> float:
+    """The utility that a document has to reach, from (utility, quality) of the labelled ones."""
     bad = of_known.agg(F.avg((F.col("quality") == 0).cast("double"))).first()[0]
     low, high = max(0.0, bad - STEP), min(1.0, bad + STEP)
     around = of_known.agg(F.percentile_approx("utility", [low, high], 10_000)).first()[0]
-    return scored, Ranker(weights, sum(around) / 2)
+    return sum(around) / 2 if around else 0.0
 
 
 def quality(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1) -> DataFrame:
@@ -176,7 +186,24 @@ def quality(docs: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1) -
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, with their columns; learns from all labels."""
-    _, ranker = ranked(docs, labels)
-    passes = ranker.score(utility(F.col("text"), ranker.weights)) >= 0.5
-    return docs.where(passes)
+    """The rows of ``docs`` that pass, with their columns; learns from all labels.
+
+    Only labelled documents are scored for the threshold; then every document
+    is scored once, where it is read, and rejected ones go no further.
+    """
+    known = written(one_label(labels, "quality").where(F.col("quality").isin(0, 1)), "ranking-labels")
+    weights = fit_weights(docs, known)
+    if weights is None:
+        return docs
+    of_known = docs.select("doc_id", "text").join(known, "doc_id").select(utility(F.col("text"), weights).alias("utility"), "quality")
+    least = passing(written(of_known, "ranking-scores"))
+    w = np.array(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(start, BATCH_ROWS)
+                scores = [float(np.dot(w, features(t or ""))) for t in batch.column("text").to_pylist()]
+                yield batch.filter(pa.array([s >= least for s in scores], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

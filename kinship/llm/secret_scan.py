@@ -173,13 +173,15 @@ def scan(
     repository: str = "doc_id",
     owner: str = "source",
     copied_owners: int = 3,
+    copied_repositories: int = 20,
     live_entropy: float = 2.5,
 ) -> DataFrame:
     """One row per document row: doc_id and ``spans``, each with its verdict.
 
     ``spans`` is array<struct<kind, start, end, value_start, value_end, hash, entropy,
     n_repositories, n_owners, verdict>>, by start and kind. The verdict is
-    ``copied`` where at least ``copied_owners`` owners hold the value, else
+    ``copied`` where at least ``copied_owners`` owners hold the value, or one or
+    two owners in at least ``copied_repositories`` repositories, else
     ``live`` where its entropy is at least ``live_entropy`` bits a character,
     else ``weak``.
     """
@@ -188,7 +190,7 @@ def scan(
     counted = ownership(some)
     one = F.col("span")
     verdict = (
-        F.when(F.col("n_owners") >= copied_owners, "copied")
+        F.when((F.col("n_owners") >= copied_owners) | (F.col("n_repositories") >= copied_repositories), "copied")
         .when(one["entropy"] >= live_entropy, "live")
         .otherwise("weak")
     )

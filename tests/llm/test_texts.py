@@ -103,6 +103,17 @@ def test_secrets_by_ownership(spark):
     assert texts[9] == "token=[SECRET]" and texts[11] == "token=[SECRET] x" and copied in texts[0]
 
 
+def test_secrets_copied_over_repositories_of_one_owner(spark):
+    """Either count decides: many repositories of one owner, or several owners of one repository each."""
+    wide, owned = "token=Zk3v9QpL7xWt2BnR", "token=Qm8s1VdH4yKc6TjE"
+    rows = [(i, wide, "s1") for i in range(20)] + [(100 + i, owned, "s1") for i in range(19)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    verdicts = {r["doc_id"]: [s["verdict"] for s in r["spans"]] for r in secret_scan.scan(docs).collect()}
+    assert {tuple(verdicts[i]) for i in range(20)} == {("copied",)} and {tuple(verdicts[100 + i]) for i in range(19)} == {("live",)}
+    one = docs.withColumn("doc_id", F.lit(1)).where("source = 's1'")
+    assert {s["verdict"] for r in secret_scan.scan(one).collect() for s in r["spans"]} == {"live"}
+
+
 def test_secrets_in_urls_of_any_length(spark):
     rng = random.Random(6)
     password, user, scheme = ("".join(rng.choices("abcdefghijklmnopqrstuvwxyzQRSTUV", k=k)) for k in (5000, 300, 40))

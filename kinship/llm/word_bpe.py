@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Chunks of text whose encodings a worker keeps; with more, it starts anew.
-KEPT_CHUNKS = 300_000
+KEPT_CHUNKS = 150_000
 
 # Words of more bytes than LONG are merged one by one.
 LONG = 64
@@ -75,6 +75,12 @@ LATER = (
 )
 
 
+# Capitals that the public library lower-cases and Python does not know yet, with their small letters.
+CAPITALS = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+CAPITALS |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+NEW_CAPITAL = regex.compile("[" + "".join(map(chr, CAPITALS)) + "]")
+
+
 def without_later(pattern: str) -> str:
     """``pattern`` with its letter and number classes less the characters of ``LATER``."""
     less = "".join(f"{chr(a)}-{chr(b)}" for a, b in LATER)
@@ -160,6 +166,10 @@ class WordBpe:
 
     def normalise(self, text: str) -> str:
         """Composed and lower-cased one character at a time: a capital sigma at a word's end is an ordinary sigma."""
+        if text.isascii():
+            return text.lower()
+        if NEW_CAPITAL.search(text):
+            text = text.translate(CAPITALS)
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
     def symbols(self, word: bytes) -> list[int]:

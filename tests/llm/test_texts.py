@@ -152,6 +152,21 @@ def test_bpe_equals_the_public_library(spark, small, documents):
     assert {(d, bytes(i), t): n for (d, i, t), n in got.items()} == want
 
 
+def test_bpe_of_every_code_point():
+    """Alone, and between letters, where a capital or a mark joins its neighbours."""
+    path = queries.tokenizer_file(queries.WORD_BPE)
+    library = pytest.importorskip("tokenizers").Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as file:
+        coder = word_bpe.WordBpe(file.read())
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for pattern in ("a{}b", "A {}{} 1"):
+        for start in range(0, len(chars), 100_000):
+            texts = [pattern.format(c, c) for c in chars[start : start + 100_000]]
+            want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+            got = [np.frombuffer(b, "<u4").tolist() for b in coder.encode(texts)]
+            assert [hex(ord(chars[start + i])) for i in range(len(texts)) if got[i] != want[i]] == []
+
+
 def test_bpe_digest_of_nothing(spark, no_documents):
     assert word_bpe.digest(word_bpe.encode_decode(no_documents, queries.tokenizer_file(queries.WORD_BPE))).count() == 0
     one = spark.createDataFrame([(1, None)], "doc_id long, text string")

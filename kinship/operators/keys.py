@@ -24,7 +24,7 @@ def keyed(df: DataFrame, *keys: str) -> DataFrame:
     return df
 
 
-def one_record_per_id(pages: DataFrame, *columns: str) -> DataFrame:
+def one_record_per_id(pages: DataFrame, *columns: str, one_aggregate: bool = False) -> DataFrame:
     """(id, *columns) of the one record that counts for each id.
 
     Records are counted by id first, by hash. Ids with a single record, nearly
@@ -32,6 +32,10 @@ def one_record_per_id(pages: DataFrame, *columns: str) -> DataFrame:
     sort, only among the records of the others. Spark broadcasts the repeated
     ids where its size check finds them few. Only ``columns`` and those that
     come before them in the order of preference are read.
+
+    With ``one_aggregate`` all records go through the choosing aggregate: it
+    sorts them, but its plan is the one in which Spark still splits the hot
+    keys of the joins with edges that follow.
     """
     last = max((RECORD_ORDER.index(c) for c in columns), default=-1)
     order = RECORD_ORDER[: last + 1]
@@ -39,6 +43,9 @@ def one_record_per_id(pages: DataFrame, *columns: str) -> DataFrame:
         return keyed(pages, "id").select("id").dropDuplicates()
     fields = [f for c in order for f in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]
     records = keyed(pages, "id").select("id", *order)
+    if one_aggregate:
+        best = records.groupBy("id").agg(F.min(F.struct(*fields)).alias("_record"))
+        return best.select("id", *(F.col("_record")[c].alias(c) for c in columns))
     repeated = records.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("id")
     single = records.join(repeated, "id", "left_anti").select("id", *columns)
     best = records.join(repeated, "id", "left_semi").groupBy("id").agg(F.min(F.struct(*fields)).alias("_record"))

@@ -42,7 +42,7 @@ def _same_region(follows: DataFrame, pages: DataFrame) -> DataFrame:
     Only (id, region_code) of the pages meets the edges, so the two shuffles
     of the edge rows carry two ids and one small integer, not nicknames.
     """
-    regions = one_record_per_id(_trimmed(pages), "region_code")
+    regions = one_record_per_id(_trimmed(pages), "region_code", one_aggregate=True)
     follower = regions.select(F.col("id").alias("_f_id"), F.col("region_code").alias("_f_region"))
     followed = regions.select(F.col("id").alias("_t_id"), F.col("region_code").alias("_t_region"))
     edges = keyed(follows, "id1", "id2").select("id1", "id2")

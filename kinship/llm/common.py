@@ -42,15 +42,17 @@ def spread(*keys: Column) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) / float(1 << 30)
 
 
-def first_by_hash(df: DataFrame, key: str, rows: int, per: list[str] | None = None) -> DataFrame:
-    """At most ``rows`` rows (of each group ``per``), the smallest by a hash of ``key``.
+def first_by_hash(
+    df: DataFrame, key: str, rows: int, per: list[str] | None = None, ties: list[str] | None = None
+) -> DataFrame:
+    """At most ``rows`` rows (of each group ``per``), the smallest by a hash of ``key``, then by ``ties``.
 
     A bounded sample for fitting a model. The limit by group is a window with
     a row-number filter, which Spark evaluates as a partial top-n before the
     shuffle, so a group is never gathered in one task beyond ``rows`` rows
     from each map task.
     """
-    order = [F.xxhash64(F.col(key)), F.col(key)]
+    order = [F.xxhash64(F.col(key)), F.col(key), *(F.col(name) for name in ties or ())]
     if not per:
         return df.orderBy(*order).limit(rows)
     place = F.row_number().over(Window.partitionBy(*per).orderBy(*order))

@@ -10,15 +10,19 @@ number of bits a letter wins (ties: the smaller name).
 Texts are lower-cased and reduced to letters with one space between words.
 A text is parsed whole, in blocks of ``BLOCK`` letters that each begin a new
 phrase, so all blocks of a batch advance together, one letter a step; this
-adds at most one phrase a block, the same for every language. A letter that a
-language's sample lacks ends a phrase there.
-
-Bounds of the fit (parameters): ``sample_rows`` documents a language, the
-smallest by a hash of their id; a longer one than ``sample_chars`` characters
-lends a window of that size, at a place by the same hash (from its first
-letter on where that window has none); ``sample_letters`` letters over all
-languages, whole short texts first. So every language with a letter in its
-labelled texts is learned. The samples, not the automata, are broadcast; a
+adds at most one phrase a block, the same for every language. Every letter of
+the samples is a symbol of its own; a letter that a language's sample lacks
+ends a phrase there.
+
+Bounds of the fit (parameters): the ``languages`` values of lang with the most
+labelled rows (ties: the smaller name); ``sample_rows`` documents of each, the
+smallest by a hash of their id, rows of one id by their text; a longer one
+than ``sample_chars`` characters, or than a language's share of
+``sample_letters``, lends a window of that size, at a place by the same hash
+(from its first letter on where that window has none); ``sample_letters``
+letters over all languages, shared evenly, whole short texts first. So of
+those languages every one with a letter in its labelled texts is learned, and
+the broadcast samples and the automata are bounded whatever lang holds. A
 worker builds the automata once.
 
 Defined results: a null text, a text without a letter, or no language learned:
@@ -29,7 +33,7 @@ Every row gives a row; an empty table gives none; further columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
+import random
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +43,7 @@ from pyspark.sql import functions as F
 
 from kinship.llm.common import first_by_hash, key_fold
 
+LANGUAGES = 400
 SAMPLE_ROWS = 24
 SAMPLE_CHARS = 6_000
 SAMPLE_LETTERS = 120_000
@@ -47,8 +52,8 @@ SAMPLE_LETTERS = 120_000
 BLOCK = 512
 LANES = 4096
 
-# Letters with a class of their own; all others share OTHERS classes by code point.
-OWN, OTHERS = 95, 16
+# Entries of the table of steps for each step; places tried for a state before it gets a row of its own.
+ROOM, TRIES = 4, 100
 
 
 class SuffixAutomaton:
@@ -84,21 +89,55 @@ class SuffixAutomaton:
         self.last = new
 
 
+class Steps:
+    """The steps of many states in one sparse table.
+
+    A state is named by the place where its row begins, and rows of different
+    states lie between each other: the step by a symbol is the entry at state
+    + symbol, if that entry names the state. Rows with the most steps are
+    placed first.
+    """
+
+    def __init__(self, states: list[dict[int, int]], width: int):
+        size = ROOM * sum(map(len, states)) + len(states) + 1
+        taken, begun = bytearray(size + width), bytearray(size)
+        draw = random.Random(0).random
+        place = np.zeros(len(states), np.int64)
+        for s in sorted(range(len(states)), key=lambda s: -len(states[s])):
+            for _ in range(TRIES):
+                at = int(draw() * size)
+                if not begun[at] and not any(taken[at + c] for c in states[s]):
+                    begun[at] = 1
+                    break
+            else:
+                at = len(taken)
+                taken += bytes(width)
+            for c in states[s]:
+                taken[at + c] = 1
+            place[s] = at
+        # An entry holds the state that it belongs to and the state that it leads to.
+        self.place, self.entries = place, np.full(len(taken), -1, np.int64)
+        count = np.fromiter(map(len, states), np.int64, len(states))
+        symbols = np.fromiter((c for row in states for c in row), np.int64, int(count.sum()))
+        to = np.fromiter((t for row in states for t in row.values()), np.int64, int(count.sum()))
+        owner = np.repeat(place, count)
+        self.entries[owner + symbols] = (owner << 32) | place[to]
+
+
 class Parser:
     """Parses texts against the samples of several languages at once."""
 
     def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
         texts = {lang: [t.lower() for t in samples[lang]] for lang in self.languages}
-        seen = Counter(c for found in texts.values() for t in found for c in t if c.isalpha())
-        own = sorted(seen, key=lambda c: (-seen[c], c))[:OWN]
-        # Class of every code point: 0 for what is no letter.
-        self.kind = np.zeros(0x110000, np.uint8)
-        points = np.array([i for i in range(0x110000) if chr(i).isalpha()])
-        self.kind[points] = 1 + len(own) + points % OTHERS
+        own = sorted({c for found in texts.values() for t in found for c in t if c.isalpha()})
+        # Symbol of every code point: 0 for what is no letter, the last one for letters that no sample has.
+        self.width = len(own) + 2
+        self.kind = np.zeros(0x110000, np.int32)
+        self.kind[[i for i in range(0x110000) if chr(i).isalpha()]] = self.width - 1
         self.kind[[ord(c) for c in own]] = np.arange(1, len(own) + 1)
-        self.width = 1 + len(own) + OTHERS
-        parts, roots, self.bits, offset = [], [], [], 0
+        states: list[dict[int, int]] = []
+        roots, self.bits = [], []
         for lang in self.languages:
             automaton, letters = SuffixAutomaton(), 0
             for text in texts[lang]:
@@ -107,19 +146,18 @@ class Parser:
                 for s in (*symbols.tolist(), self.width):
                     automaton.extend(s)
                 letters += len(symbols)
-            # A missing step holds the complement of the state that a new phrase begins with.
-            root = [automaton.next[0].get(s, 0) for s in range(self.width)]
-            steps = np.tile(~(offset + np.array(root, np.int64) * self.width), (len(automaton.next), 1))
-            for state, found in enumerate(automaton.next):
-                for s, to in found.items():
-                    if s < self.width:
-                        steps[state, s] = offset + to * self.width
-            parts.append(steps.astype(np.int32).ravel())
-            roots.append(offset)
+            roots.append(len(states))
             self.bits.append(np.log2(letters + 2))
-            offset += steps.size
-        self.steps = np.concatenate(parts) if parts else np.empty(0, np.int32)
-        self.roots = np.array(roots, np.int32)[:, None]
+            first = len(states)
+            states += [{s: first + to for s, to in found.items() if s < self.width} for found in automaton.next]
+        steps = Steps(states, self.width)
+        self.entries = steps.entries
+        self.roots = steps.place[roots][:, None]
+        # Where a new phrase that begins with a symbol goes on.
+        self.begin = np.repeat(self.roots, self.width, axis=1)
+        for row, root in zip(self.begin, roots):
+            for s, to in states[root].items():
+                row[s] = steps.place[to]
 
     def symbols(self, lowered: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Classes of all texts in a row, one 0 between words, and the count of each text."""
@@ -146,16 +184,17 @@ class Parser:
         for at in range(0, len(order), LANES):
             lanes = order[at : at + LANES]
             sizes = size[lanes]
-            letters = np.ascontiguousarray(padded[begin[lanes][:, None] + np.arange(sizes[0])].T).astype(np.int32)
+            letters = np.ascontiguousarray(padded[begin[lanes][:, None] + np.arange(sizes[0])].T)
             state = np.repeat(self.roots, len(lanes), axis=1)
             ended = np.zeros(state.shape, np.int32)
             # Blocks are sorted by size, so those that go on come first.
             going = len(lanes) - np.searchsorted(sizes[::-1], np.arange(sizes[0]), side="right")
             for step, m in enumerate(going.tolist()):
-                to = self.steps.take(state[:, :m] + letters[step, :m])
-                missing = to >> 31
-                ended[:, :m] -= missing
-                state[:, :m] = to ^ missing
+                now, letter = state[:, :m], letters[step, :m]
+                entry = self.entries.take(now + letter)
+                missing = (entry >> 32) != now
+                ended[:, :m] += missing
+                state[:, :m] = np.where(missing, self.begin.take(letter, axis=1), entry & 0xFFFFFFFF)
             ended += state != self.roots
             for row, e in enumerate(ended):
                 out[row] += np.bincount(text[lanes], weights=e, minlength=len(lowered))
@@ -188,25 +227,30 @@ def learn(
     sample_rows: int = SAMPLE_ROWS,
     sample_chars: int = SAMPLE_CHARS,
     sample_letters: int = SAMPLE_LETTERS,
+    languages: int = LANGUAGES,
 ) -> dict[str, list[str]]:
     """Sampled texts of each language of (doc_id, text, lang)."""
     letter = F.lit(r"\p{L}")
     usable = labelled.where(F.col("lang").isNotNull() & F.rlike("text", letter))
+    often = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    found: dict[str, list[str]] = {lang: [] for lang in sorted(r["lang"] for r in often.collect())}
+    if not found:
+        return found
+    share = max(1, sample_letters // len(found))
+    size = min(sample_chars, share)
     # Cut before the sample is taken, so no whole long text moves.
     length = F.char_length("text")
-    place = F.pmod(F.xxhash64("doc_id"), length - sample_chars + 1).cast("int")
-    window = F.substring(F.col("text"), place + 1, F.lit(sample_chars))
+    place = F.pmod(F.xxhash64("doc_id"), F.greatest(length - size + 1, F.lit(1))).cast("int")
+    window = F.substring(F.col("text"), place + 1, F.lit(size))
     cut = (
-        F.when(length <= sample_chars, F.col("text"))
+        F.when(length <= size, F.col("text"))
         .when(F.rlike(window, letter), window)
-        .otherwise(F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{sample_chars - 1}}}", 0))
+        .otherwise(F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{size - 1}}}", 0))
     )
-    rows = first_by_hash(usable.select("doc_id", cut.alias("text"), "lang"), "doc_id", sample_rows, ["lang"]).collect()
-    languages = sorted({r["lang"] for r in rows})
-    found: dict[str, list[str]] = {lang: [] for lang in languages}
-    share = sample_letters // max(1, len(languages))
-    for r in sorted(rows, key=lambda r: (r["lang"], len(r["text"]), r["doc_id"] is None, r["doc_id"])):
-        if not found[r["lang"]] or sum(map(len, found[r["lang"]])) + len(r["text"]) <= share:
+    known = usable.where(F.col("lang").isin(list(found))).select("doc_id", cut.alias("text"), "lang")
+    rows = first_by_hash(known, "doc_id", sample_rows, ["lang"], ["text"]).collect()
+    for r in sorted(rows, key=lambda r: (r["lang"], len(r["text"]), r["doc_id"] is None, r["doc_id"], r["text"])):
+        if sum(map(len, found[r["lang"]])) + len(r["text"]) <= share:
             found[r["lang"]].append(r["text"])
     return found
 

@@ -206,6 +206,41 @@ def test_blocks_of_a_long_text_add_at_most_a_phrase_each():
     assert whole <= got[0, 0] <= whole + -(-counts[0] // language_id.BLOCK)
 
 
+def test_letters_beyond_the_samples_and_large_alphabets():
+    """Letters that no sample holds end a phrase each; each of thousands of letters is its own symbol."""
+    rng = random.Random(5)
+    han = [chr(0x4E00 + i) for i in range(3000)]
+    samples = {"h": ["".join(rng.choices(han, k=2000)) for _ in range(2)], "g": ["".join(rng.choices(han[:400], k=2000))], "l": ["abc abd " * 30]}
+    parser = language_id.Parser(samples)
+    unknown = "".join(chr(0x9000 + i) for i in range(400))
+    texts = [unknown, samples["h"][0][500:900], "".join(rng.choices(han, k=300)) + " abc", "abcé abd"]
+    got, counts = parser.phrases(texts)
+    assert got[:, 0].tolist() == [400.0] * 3 and counts[0] == 400
+    for i, text in enumerate(texts):
+        for k, lang in enumerate(parser.languages):
+            reduced = [s.rstrip(" ") + (" " if s.endswith(" ") else "") for s in samples[lang]]
+            assert got[k, i] == plain_phrases(reduced, text)
+    assert parser.predict(texts)[0][1] == "h"
+
+
+def test_rows_of_steps_that_find_no_room_get_their_own(monkeypatch):
+    rng = random.Random(6)
+    samples = {"x": ["".join(rng.choices("abcdefgh", k=300))], "y": ["".join(rng.choices("efghij", k=300))]}
+    texts = ["".join(rng.choices("abcdefghijk", k=200)) for _ in range(10)]
+    usual = language_id.Parser(samples).phrases(texts)[0]
+    monkeypatch.setattr(language_id, "TRIES", 1)
+    assert (language_id.Parser(samples).phrases(texts)[0] == usual).all()
+
+
+def test_dirty_language_values_do_not_grow_the_fit(spark):
+    rows = [(i, f"word{'x' * (i % 7)} tale", f"dirty{i}") for i in range(300)] + [(1000 + i, "a tale of two cities " * 9, "en") for i in range(20)]
+    docs = spark.createDataFrame([*rows, (None, "zz", "en"), (None, "aa", "en")], "doc_id long, text string, lang string")
+    samples = language_id.learn(docs, sample_letters=600, languages=50)
+    assert len(samples) == 50 and "en" in samples and sum(len(t) for found in samples.values() for t in found) <= 600
+    assert all(found for found in samples.values())
+    assert language_id.learn(docs.orderBy(F.desc("text")).repartition(5), sample_letters=600, languages=50) == samples
+
+
 def test_languages_held_out(small):
     docs = small("documents")
     got = {r["doc_id"]: r for r in language_id.held_out_languages(docs).collect()}

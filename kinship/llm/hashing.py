@@ -21,6 +21,8 @@ class WordHash(dict):
 
 # The hashes that this Python worker keeps.
 WORDS = WordHash()
+# Odd numbers without pattern: a step of a run's polynomial, and its last spreading.
+_RUN, _SPREAD = np.uint32(0x01000193), np.uint32(0x9E3779B1)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(32), np.uint64(29))
 
 
@@ -30,3 +32,17 @@ def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> s)) * a
     h = (h ^ (h >> t)) * b
     return h ^ (h >> s)
+
+
+def character_runs(text: str, buckets: int, length: int = 4) -> np.ndarray:
+    """Bucket (of a power of two) of every run of ``length`` characters of a text."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    n = points.size - length + 1
+    if n < 1:
+        return np.empty(0, np.int64)
+    h = points[:n].copy()
+    for k in range(1, length):
+        h *= _RUN
+        h += points[k : k + n]
+    h *= _SPREAD
+    return (h >> np.uint32(33 - buckets.bit_length())).astype(np.int64)

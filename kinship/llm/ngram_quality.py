@@ -1,8 +1,8 @@
 """Quality rules: base counts, and a calibrated n-gram classifier beside them.
 
 The classifier is a logistic regression over hashed n-grams of the whole
-text: words and pairs of words in one half of the buckets, runs of four bytes
-in the other, each half as shares of its total. It is fitted by Spark's
+text: words and pairs of words in one half of the buckets, runs of four
+characters in the other, each half as shares of its total. It is fitted by Spark's
 distributed solver on a bounded sample of labelled rows; its margin is then
 turned into a probability by a logistic curve that is fitted on the part of
 the sample that the classifier has not seen, weighted by how often each label
@@ -31,13 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinship.llm.common import one_label, written
-from kinship.llm.hashing import WORDS, mixed
+from kinship.llm.hashing import WORDS, character_runs, mixed
 
 SAMPLE_ROWS = 2000
 CALIBRATION = 5
 PENALTY = 1e-3
 
-# Buckets of each half: words and pairs, runs of bytes.
+# Buckets of each half: words and pairs, runs of characters.
 HALF = 2048
 
 # A document is kept with at least this probability of a good label.
@@ -74,18 +74,13 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
 
 
 def buckets(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the n-grams of a whole text: (words and pairs, runs of bytes)."""
+    """Buckets of the n-grams of a whole text: (words and pairs, runs of characters)."""
     raw = text.encode("utf-8", "surrogatepass")
     words = raw.lower().split()
     h = mixed(np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words)))
     pairs = mixed(h[:-1] + mixed(h[1:])) if h.size > 1 else h[:0]
     of_words = (np.concatenate([h, pairs]) & np.uint64(HALF - 1)).astype(np.int64)
-    b = np.frombuffer(raw, np.uint8).astype(np.uint32)
-    if b.size < 4:
-        return of_words, np.empty(0, np.int64)
-    runs = b[:-3] | (b[1:-2] << np.uint32(8)) | (b[2:-1] << np.uint32(16)) | (b[3:] << np.uint32(24))
-    runs = (runs * np.uint32(0x9E3779B1)) >> np.uint32(32 - (HALF.bit_length() - 1))
-    return of_words, runs.astype(np.int64)
+    return of_words, character_runs(text, HALF)
 
 
 def shares(text: str) -> np.ndarray:

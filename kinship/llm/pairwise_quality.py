@@ -3,10 +3,12 @@
 Documents labelled good and documents labelled bad make preference pairs; the
 chance that one is preferred to the other is the logistic function of the
 difference of their scores, and a score is a weighted sum of features of the
-text. The weights are fitted by logistic loss on feature differences (with
-Spark's distributed solver, each pair also the other way round, no
-intercept). A document passes when its score reaches a quantile of the scores
-of all labelled documents: the share of bad labels among them.
+text: its shape, and hashed n-grams of words and of characters, each half as
+square roots of shares of its total. The weights are fitted by logistic loss
+on feature differences (with Spark's distributed solver, every second pair the
+other way round, no intercept). A document passes when its score reaches a
+quantile of the scores of all labelled documents: the share of bad labels
+among them.
 
 Bounds of the fit (parameters): at most ``sample_rows`` documents of each
 label, the smallest by a hash of their id, and ``strides`` pairs for each good
@@ -36,6 +38,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from kinship.llm.common import key_fold, one_label, written
+from kinship.llm.hashing import WORDS, character_runs, mixed
 
 SAMPLE_ROWS = 3000
 STRIDES = 4
@@ -60,10 +63,13 @@ CLASSES = (
     b" \t\r\n",
     b"?;:'\"()-_/@=",
 )
-N_FEATURES = len(CLASSES) + 6
+# Buckets of each half of the n-grams: words and pairs of words, runs of four characters.
+HALF = 256
+N_SHAPE = len(CLASSES) + 6
+N_FEATURES = N_SHAPE + 2 * HALF
 
 
-def features(text: str) -> list[float]:
+def shape(text: str) -> list[float]:
     """Shape of a whole text: shares of character classes, lengths, repetition."""
     raw = text.encode("utf-8", "surrogatepass")
     size, words = max(1, len(raw)), raw.split()
@@ -81,6 +87,16 @@ def features(text: str) -> list[float]:
     ]
 
 
+def features(text: str) -> np.ndarray:
+    """All features of a whole text: its shape, then its n-grams."""
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    h = mixed(np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words)))
+    grams = np.concatenate([h, mixed(h[:-1] + mixed(h[1:]))])
+    halves = ((grams & np.uint64(HALF - 1)).astype(np.int64), character_runs(text, HALF))
+    shares = [np.bincount(found, minlength=HALF) / max(1, found.size) for found in halves]
+    return np.concatenate([shape(text), *map(np.sqrt, shares)])
+
+
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def text_features(texts: pd.Series) -> pd.Series:
     return pd.Series([features(t or "") for t in texts], dtype=object)
@@ -111,7 +127,8 @@ def utility(text: Column, weights: list[float]) -> Column:
 
 
 def preference_pairs(docs: DataFrame, labelled: DataFrame, sample_rows: int, strides: int) -> DataFrame:
-    """(difference) of good minus bad features; every good document meets ``strides`` bad ones."""
+    """(difference, turned): good minus bad features; every good document meets ``strides`` bad ones,
+    and every second pair is to be learned the other way round."""
     sides = []
     for quality in (1, 0):
         chosen = (
@@ -128,13 +145,15 @@ def preference_pairs(docs: DataFrame, labelled: DataFrame, sample_rows: int, str
     good, bad = sides
     n_bad = bad.count()
     if not n_bad:
-        return good.select(F.col("f").alias("difference")).limit(0)
+        return good.select(F.col("f").alias("difference"), F.lit(False).alias("turned")).limit(0)
     met = F.explode(F.sequence(F.lit(0), F.lit(min(strides, n_bad) - 1)))
     partners = good.select("f", "place", met.alias("stride")).select(
-        F.col("f").alias("good"), ((F.col("place") * strides + F.col("stride")) % n_bad).cast("int").alias("place")
+        F.col("f").alias("good"),
+        ((F.col("place") + F.col("stride")) % 2 == 1).alias("turned"),
+        ((F.col("place") * strides + F.col("stride")) % n_bad).cast("int").alias("place"),
     )
     return partners.join(bad.select("place", F.col("f").alias("bad")), "place").select(
-        F.zip_with("good", "bad", lambda g, b: g - b).alias("difference")
+        F.zip_with("good", "bad", lambda g, b: g - b).alias("difference"), "turned"
     )
 
 
@@ -144,8 +163,11 @@ def fit_weights(docs: DataFrame, labelled: DataFrame, sample_rows: int = SAMPLE_
     pairs = written(pairs.coalesce(4), "ranking-pairs")
     if pairs.isEmpty():
         return None
-    both = pairs.select("difference", F.lit(1.0).alias("label")).unionByName(
-        pairs.select(F.transform("difference", lambda d: -d).alias("difference"), F.lit(0.0).alias("label"))
+    # The loss of a pair is the same either way round; both labels are to occur.
+    turned = F.col("turned")
+    both = pairs.select(
+        F.when(turned, F.transform("difference", lambda d: -d)).otherwise(F.col("difference")).alias("difference"),
+        F.when(turned, 0.0).otherwise(1.0).alias("label"),
     )
     solver = LogisticRegression(fitIntercept=False, standardization=True, regParam=PENALTY, maxIter=100)
     model = solver.fit(both.select(array_to_vector("difference").alias("features"), "label"))

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kinship.llm import common, forest, language_id, minhash, mixing, ngram_quality, pairwise_quality
+from kinship.llm import common, forest, hashing, language_id, minhash, mixing, ngram_quality, pairwise_quality
 from kinship.llm.components import components
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -289,6 +289,49 @@ def test_pairwise_quality_held_out(small):
     assert sum(got[i]["predicted"] == truth[i] for i in held) >= 0.9 * len(held)
 
 
+def test_pairwise_weights_equal_a_plain_fit(small):
+    """Newton's method on the logistic loss of the same pairs, each the right way round."""
+    docs, labels = small("documents"), common.one_label(small("labels"), "quality")
+    pairs = pairwise_quality.preference_pairs(docs, labels, 40, 3).collect()
+    assert {r["turned"] for r in pairs} == {True, False} and len(pairs) % 3 == 0
+    x = np.array([r["difference"] for r in pairs])
+    assert x.shape[1] == pairwise_quality.N_FEATURES
+    sign = np.array([-1.0 if r["turned"] else 1.0 for r in pairs])
+    sigma = (x * sign[:, None]).std(axis=0, ddof=1)
+    z = np.divide(x, sigma, out=np.zeros_like(x), where=sigma > 0)
+    beta, penalty = np.zeros(z.shape[1]), pairwise_quality.PENALTY
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-z @ beta))
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z / len(z) + penalty * np.eye(z.shape[1]), z.T @ (p - 1) / len(z) + penalty * beta)
+        beta -= step
+    assert np.abs(step).max() < 1e-9
+    got = np.array(pairwise_quality.fit_weights(docs, labels, 40, 3)) * sigma
+    texts = [r["text"] or "" for r in docs.select("text").collect()]
+    f = np.array([pairwise_quality.features(t) for t in texts])
+    f = np.divide(f, sigma, out=np.zeros_like(f), where=sigma > 0)
+    assert np.corrcoef(f @ got, f @ beta)[0, 1] > 0.999
+    assert np.abs(got - beta).max() < 0.02 * np.abs(beta).max()
+
+
+def test_pairwise_quality_learns_from_words_and_characters(spark):
+    """Good and bad texts of one shape, told apart by their words only, or by runs of letters in new words."""
+    rng = random.Random(9)
+    kinds = {1: ["abbey", "cabin", "delta", "eagle"], 0: ["zebra", "yacht", "waltz", "vodka"]}
+    rows = [(i, " ".join(rng.choices(kinds[i % 2], k=30))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i, _ in rows], LABELS)
+    assert {r["doc_id"]: r["predicted"] for r in pairwise_quality.quality(docs, labels).collect()} == {i: i % 2 for i, _ in rows}
+
+
+def test_character_runs_are_of_characters():
+    """Equal runs share a bucket wherever they stand; a run is of code points, not of bytes."""
+    assert hashing.character_runs("", 256).size == hashing.character_runs("äöü", 256).size == 0
+    got = hashing.character_runs("äöü€äöü€", 256)
+    assert got.size == 5 and got[0] == got[4] and got.max() < 256
+    text = "".join(chr(0x4E00 + i) for i in range(5000))
+    assert np.bincount(hashing.character_runs(text, 64), minlength=64).max() < 3 * 5000 / 64
+
+
 def test_quality_never_reads_held_out_labels(small):
     labels = small("labels")
     held = common.key_fold(F.col("doc_id"), 3) == 1
@@ -323,6 +366,17 @@ def test_ngram_quality(spark, small, documents, no_documents):
     assert ngram_quality.judge(no_documents, none).count() == 0
 
 
+def test_ngram_quality_held_out(spark):
+    """Learns from the labels of one half of the ids and judges the other half."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet") for name in ("documents", "labels"))
+    held = common.key_fold(F.col("doc_id"), 2) == 1
+    classifier = ngram_quality.fit(docs, labels.where(~held))
+    truth = {r["doc_id"]: r["quality"] for r in labels.where(held).collect()}
+    known = [r for r in docs.where(held).collect() if r["doc_id"] in truth]
+    good = classifier.probabilities([r["text"] or "" for r in known]) >= ngram_quality.KEEP_FROM
+    assert np.mean([g == truth[r["doc_id"]] for g, r in zip(good, known)]) >= 0.95
+
+
 # Mixing
 
 

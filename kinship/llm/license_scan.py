@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kinship.llm.common import numbered, written
-from kinship.llm.license_rules import HINT, Rule, rules
+from kinship.llm.license_rules import HINT, Rule, announced, rules
 
 # ASCII characters that are neither digits nor letters of lower-case text.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -35,6 +35,9 @@ BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Two characters that words can't hold, around each match.
 OPEN, CLOSE = "\x01", "\x02"
 
+# The same around each announced expression of identifiers.
+BEGIN, END = "\x03", "\x04"
+
 
 def _spaces(text: Column) -> Column:
     return F.char_length(text) - F.char_length(F.replace(text, F.lit(" "), F.lit("")))
@@ -59,48 +62,46 @@ def words_of(docs: DataFrame, chosen: tuple[Rule, ...]) -> DataFrame:
     )
 
 
+def pattern(rule: Rule) -> str:
+    """The regular expression of a rule between words, with what has to stand before a match."""
+    if rule.announced:
+        # First in its expression, or joined to what stands before it there.
+        return f"(?<={BEGIN}|{BEGIN}[a-z0-9 ]{{1,600}} (?:or|and) ){rule.pattern}(?= )"
+    behind = f"(?={rule.pattern} )(?<= {rule.behind})" if rule.behind else ""
+    return f"(?<= ){behind}{rule.pattern}(?= )"
+
+
+def _tried(i: int, rule: Rule) -> str:
+    """SQL of a rule's fields and of a text cut before each match: spaces of each
+    piece, and those inside the match that begins it; null without the keyword."""
+    inside = f"substring_index(p, '{CLOSE}', 1)"
+    marked = f"regexp_replace({'tagged' if rule.announced else 'words'}, r'{pattern(rule)}', '{OPEN}$0{CLOSE}')"
+    spaces, within = (f"char_length({x}) - char_length(replace({x}, ' ', ''))" for x in ("p", inside))
+    return f"""CASE WHEN contains(words, '{rule.keyword}') THEN named_struct(
+        'rule', {i}, 'label', '{rule.label}', 'priority', {rule.priority}, 'score', {rule.score}D, 'base', {str(rule.base).lower()},
+        'pieces', transform(split({marked}, '{OPEN}'), p -> named_struct('spaces', {spaces}, 'inside', {within}))) END"""
+
+
 def detections(texts: DataFrame, chosen: tuple[Rule, ...]) -> DataFrame:
     """(row, rule, label, priority, score, base, start, stop) of every match; words from 0, stop exclusive."""
-    table = F.array(
-        *(
-            F.struct(
-                F.lit(i).alias("rule"),
-                F.lit(r.label).alias("label"),
-                F.lit(r.priority).alias("priority"),
-                F.lit(r.score).alias("score"),
-                F.lit(r.base).alias("base"),
-                F.lit(r.keyword).alias("keyword"),
-                F.lit(f"(?<= ){r.pattern}(?= )").alias("pattern"),
-            )
-            for i, r in enumerate(chosen)
-        )
-    )
-    tried = (
-        texts.where(F.col("words").isNotNull())
-        .select(
-            "row", "words", F.explode(F.filter(table, lambda r: F.contains(F.col("words"), r["keyword"]))).alias("r")
-        )
-        .withColumn("marked", F.regexp_replace("words", F.col("r.pattern"), F.lit(f"{OPEN}$0{CLOSE}")))
-        .where(F.contains("marked", F.lit(OPEN)))
-    )
-    pieces = F.transform(
-        F.split("marked", OPEN),
-        lambda p: F.struct(_spaces(p).alias("spaces"), _spaces(F.substring_index(p, CLOSE, 1)).alias("inside")),
-    )
-    so_far = Window.partitionBy("row", "r.rule").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    words = F.col("words")
+    # Marks change no count of spaces. Texts that announce nothing stay as they are.
+    tagged = F.when(F.contains(words, F.lit("identifier")), F.regexp_replace(words, F.lit(announced()), F.lit(f"{BEGIN}$0{END}")))
+    # Each rule's expression is a literal, so a task compiles it once; only the places of its matches are kept.
+    tried = F.expr(f"array({', '.join(_tried(i, r) for i, r in enumerate(chosen))})")
+    matched = F.filter(tried, lambda r: r.isNotNull() & (F.size(r["pieces"]) > 1))
+    found = texts.where(words.isNotNull()).select("row", "words", tagged.alias("tagged")).select("row", F.explode(matched).alias("r"))
+    so_far = Window.partitionBy("row", "rule").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     # Spaces before a match, less the one before the first word.
     start = F.sum("piece.spaces").over(so_far) - 1
+    fields = ("rule", "label", "priority", "score", "base")
     return (
-        tried.select("row", "r", F.posexplode(pieces).alias("place", "piece"))
+        found.select("row", *(f"r.{name}" for name in fields), F.posexplode("r.pieces").alias("place", "piece"))
         .withColumn("start", start)
         .where(F.col("place") > 0)
         .select(
             "row",
-            "r.rule",
-            "r.label",
-            "r.priority",
-            "r.score",
-            "r.base",
+            *fields,
             F.col("start").cast("long").alias("start"),
             (F.col("start") + F.col("piece.inside") + 1).cast("long").alias("stop"),
         )

@@ -258,6 +258,57 @@ def test_license_after_a_hint_or_in_one_word_with_its_version(spark):
     assert [(text, got[i]["labels"], got[i]["score"]) for i, (text, *_) in enumerate(cases)] == cases
 
 
+def test_license_identifiers_expressions_and_rarer_names(spark):
+    cases = [
+        ("SPDX-License-Identifier: MIT", "mit", 1.0),
+        ("SPDX-License-Identifier: ISC", "isc", 1.0),
+        ("// SPDX-License-Identifier: 0BSD\nint main() {}", "0bsd", 1.0),
+        ("SPDX-License-Identifier: MS-PL", "ms-pl", 1.0),
+        ("SPDX-License-Identifier: BSD-3-Clause", "bsd-3", 1.0),
+        ("SPDX-License-Identifier: (MIT OR Apache-2.0)", "apache-2.0,mit", 1.0),
+        ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 OR Zlib", "gpl-2.0,gpl-classpath,zlib", 1.0),
+        ("SPDX-License-Identifier: MIT. A text about boats, tar and tcl", "mit", 1.0),
+        ("license = MIT OR Apache-2.0", "apache-2.0,mit", 0.95),
+        ("Apache-2.0 or MIT", "apache-2.0,mit", 0.95),
+        ("students of MIT or other schools", "", 0.0),
+        ("see the licence file for details", "licensed", 0.4),
+        ("GNU GPL", "gpl", 0.8),
+        ("the GNU GPL v3", "gpl-3.0", 0.95),
+        ("Boost License", "bsl", 0.8),
+        ("X11 License", "x11", 0.8),
+        ("the PostgreSQL Licence", "postgresql", 0.8),
+        ("https://www.apache.org/licenses/LICENSE-2.0.txt", "apache-2.0", 0.95),
+        ("https://creativecommons.org/licenses/by-nc-sa/4.0/", "cc-by-nc-sa", 0.95),
+        ("This is free and unencumbered software released into the public domain.", "unlicense", 0.8),
+        ("Redistributions of source code must retain the above copyright notice, this list", "bsd", 0.8),
+    ]
+    docs = spark.createDataFrame([(i, text) for i, (text, *_) in enumerate(cases)], "doc_id long, text string")
+    got = by_id(license_scan.digest(license_scan.scan(docs)))
+    assert [(text, got[i]["labels"], got[i]["score"]) for i, (text, *_) in enumerate(cases)] == cases
+
+
+def test_license_detections_equal_plain_search(spark, small):
+    """Every rule without a context of its own, by Python's regular expressions over the same words."""
+    chosen = [r for r in license_rules.rules() if not r.behind and not r.announced]
+    plain = {r.pattern for r in chosen if re.fullmatch("[a-z0-9 ]+", r.pattern)}
+    # Names and sentences, and words that go on with a name.
+    pieces = sorted(plain | {r.keyword.strip() for r in chosen} | {"2 0", "version 3 0", "or later", "the", "license", "mit license", "and"})
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices(pieces, k=12)) for _ in range(150)] + [t["text"] or "" for t in small("documents").select("text").limit(40).collect()]
+    padded = [" " + " ".join(license_words(t)) + " " for t in texts]
+    rows = spark.createDataFrame(list(enumerate(padded)), "row long, words string")
+    got = {(r["row"], r["rule"], r["start"], r["stop"]) for r in license_scan.detections(rows, tuple(chosen)).collect()}
+    want = set()
+    for i, text in enumerate(padded):
+        for k, rule in enumerate(chosen):
+            for m in re.finditer(f"(?<= )(?:{rule.pattern})(?= )", text):
+                start = text[: m.start()].count(" ") - 1
+                want.add((i, k, start, start + m.group().count(" ") + 1))
+                # The keyword test loses no match.
+                assert rule.keyword in text, rule
+    assert got == want and len({k for _, k, *_ in want}) > 40
+
+
 def test_license_rules_are_hundreds_and_gated():
     chosen = license_rules.rules()
     assert len(chosen) > 300

@@ -49,7 +49,9 @@ def words_of(docs: DataFrame, chosen: tuple[Rule, ...]) -> DataFrame:
     body = F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), BETWEEN, " "))
     padded = F.concat(F.lit(" "), F.col("body"), F.lit(" "))
     any_keyword = F.lit(False)
-    for keyword in sorted({r.keyword for r in chosen}):
+    keywords = {r.keyword for r in chosen}
+    # A keyword that holds another one needs no test of its own here.
+    for keyword in sorted(k for k in keywords if not any(o in k for o in keywords - {k})):
         any_keyword = any_keyword | F.contains(F.col("words"), F.lit(keyword))
     return (
         docs.select("doc_id", body.alias("body"))
@@ -73,13 +75,13 @@ def pattern(rule: Rule) -> str:
 
 def _tried(i: int, rule: Rule) -> str:
     """SQL of a rule's fields and of a text cut before each match: spaces of each
-    piece, and those inside the match that begins it; null without the keyword."""
+    piece, and those inside the match that begins it."""
     inside = f"substring_index(p, '{CLOSE}', 1)"
     marked = f"regexp_replace({'tagged' if rule.announced else 'words'}, r'{pattern(rule)}', '{OPEN}$0{CLOSE}')"
     spaces, within = (f"char_length({x}) - char_length(replace({x}, ' ', ''))" for x in ("p", inside))
-    return f"""CASE WHEN contains(words, '{rule.keyword}') THEN named_struct(
+    return f"""named_struct(
         'rule', {i}, 'label', '{rule.label}', 'priority', {rule.priority}, 'score', {rule.score}D, 'base', {str(rule.base).lower()},
-        'pieces', transform(split({marked}, '{OPEN}'), p -> named_struct('spaces', {spaces}, 'inside', {within}))) END"""
+        'pieces', transform(split({marked}, '{OPEN}'), p -> named_struct('spaces', {spaces}, 'inside', {within})))"""
 
 
 def detections(texts: DataFrame, chosen: tuple[Rule, ...]) -> DataFrame:
@@ -88,8 +90,12 @@ def detections(texts: DataFrame, chosen: tuple[Rule, ...]) -> DataFrame:
     # Marks change no count of spaces. Texts that announce nothing stay as they are.
     tagged = F.when(F.contains(words, F.lit("identifier")), F.regexp_replace(words, F.lit(announced()), F.lit(f"{BEGIN}$0{END}")))
     # Each rule's expression is a literal, so a task compiles it once; only the places of its matches are kept.
-    tried = F.expr(f"array({', '.join(_tried(i, r) for i, r in enumerate(chosen))})")
-    matched = F.filter(tried, lambda r: r.isNotNull() & (F.size(r["pieces"]) > 1))
+    gates = []
+    for keyword in sorted({r.keyword for r in chosen}):
+        gated = ", ".join(_tried(i, r) for i, r in enumerate(chosen) if r.keyword == keyword)
+        gates.append(f"CASE WHEN contains(words, '{keyword}') THEN array({gated}) END")
+    tried = F.flatten(F.filter(F.expr(f"array({', '.join(gates)})"), lambda g: g.isNotNull()))
+    matched = F.filter(tried, lambda r: F.size(r["pieces"]) > 1)
     found = texts.where(words.isNotNull()).select("row", "words", tagged.alias("tagged")).select("row", F.explode(matched).alias("r"))
     so_far = Window.partitionBy("row", "rule").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     # Spaces before a match, less the one before the first word.

@@ -14,10 +14,24 @@ from pyspark.sql import functions as F
 from kinship.llm import minhash, mixing, pairwise_quality, queries, secret_scan, word_bpe
 from kinship.llm.common import numbered, table, written
 
+# Rows that go to a Python worker together, where the session names no number:
+# the rows are whole texts, and a batch is held on both sides.
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
 # Target weights of the mixture: toxic text is cut down to this share, clean text stays whole.
 SHARES = {"clean": 0.98, "toxic": 0.02}
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for the rest of the session, unless it sets their size itself.
+
+    Batches change no row. The setting stays, as a stage's plan is run after
+    the stage has returned it.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the pairwise classifier rejects go.
 
@@ -25,6 +39,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     own text, also where rows share an id or have none; without labels of both
     kinds every row stays. Further columns stay as they are.
     """
+    small_batches(spark)
     return pairwise_quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
@@ -36,6 +51,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     are judged by their texts like all others. Texts without a word are no
     copies of each other; they stay.
     """
+    small_batches(spark)
     rows = written(numbered(docs, "_kn_row"), "pipeline-rows")
     judged = minhash.near_duplicates(rows.select(F.col("_kn_row").alias("doc_id"), "text"), words=5, share=(80, 100))
     groups = judged.select(F.col("doc_id").alias("_kn_row"), "component_id")
@@ -50,6 +66,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text stays null. Rows that share an id, or have none, are searched
     and cut each by itself.
     """
+    small_batches(spark)
     return secret_scan.redact(docs)
 
 
@@ -60,6 +77,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     same draw; a null or empty text takes the rate of its posterior. Without
     labels of both domains every row stays.
     """
+    small_batches(spark)
     labelled = mixing.label_domains(table(spark, sf_dir, "labels"))
     domain = F.when(F.col("domain") == "toxic", "toxic").otherwise("clean")
     return mixing.mixed(docs, labelled.withColumn("domain", domain), SHARES, "clean")
@@ -70,6 +88,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text counts as empty; every row gives a row.
     """
+    small_batches(spark)
     coded = word_bpe.encode_decode(docs, queries.tokenizer_file(queries.WORD_BPE))
     return word_bpe.digest(coded)
 
